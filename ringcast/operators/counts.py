@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ringcast.functions.rows import repeat_rows
 from ringcast.functions.scalar import day_number
 
 HISTORY_DAYS = (60, 30, 10, 120)
@@ -34,8 +35,7 @@ def event_copies(
     out: str = "call_count_0",
 ) -> DataFrame:
     """Compat form of ``daily_counts``: one row per event, each with the day's count."""
-    daily = daily_counts(events, key, day, out)
-    return daily.withColumn("_copy", F.explode(F.sequence(F.lit(1), out))).drop("_copy")
+    return repeat_rows(daily_counts(events, key, day, out), out)
 
 
 def add_same_day(
@@ -128,6 +128,7 @@ def add_contact_history(
     sums = trailing_sums(daily, "_sum", windows, prefix)
     joined = join_days(panel, sums, [out, *[f"{prefix}{n}" for n in windows]])
     if compat:
-        each = F.sequence(F.lit(1), F.greatest(F.col(out), F.lit(1)))
-        joined = joined.withColumn("_copy", F.explode(each)).drop("_copy")
+        joined = repeat_rows(
+            joined.withColumn("_times", F.greatest(F.col(out), F.lit(1))), "_times"
+        ).drop("_times")
     return joined

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ringcast.functions.rows import repeat_rows
 from ringcast.functions.scalar import hash_fraction, row_hash
 
 ROW_KEY = ("account_number", "event_date", "mac", "category_name")
@@ -59,9 +60,8 @@ def take_hashed(
         .withColumn("_before", F.sum("_copies").over(rank) - F.col("_copies"))
         .where(F.col("_before") < needed)
         .withColumn("_take", F.least("_copies", F.lit(needed) - F.col("_before")))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_take")))
     )
-    return below.unionByName(at_cut.select(*df.columns))
+    return below.unionByName(repeat_rows(at_cut, "_take", spread=True).select(*df.columns))
 
 
 def undersample(

@@ -25,7 +25,7 @@ def precision_recall(df: DataFrame, label: str = "target", pred: str = "pred") -
 
 
 def running_totals(
-    df: DataFrame, by: str, columns: Sequence[str], slices: int = SLICES
+    df: DataFrame, by: str, columns: Sequence[str], slices: int | None = None
 ) -> DataFrame:
     """Append ``cum_<column>``: totals over all rows with ``by`` at least this row's.
 
@@ -34,6 +34,8 @@ def running_totals(
     so no task sees the whole order.
     """
     df = stage(df, "totals")
+    if slices is None:
+        slices = max(SLICES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cuts = df.approxQuantile(by, [i / slices for i in range(1, slices)], 1 / (4 * slices))
     bounds = [-float("inf"), *sorted(set(cuts)), float("inf")]
     sliced = Bucketizer(splits=bounds, inputCol=by, outputCol="_slice").transform(df)

@@ -46,11 +46,13 @@ def rolling_stats(
     if hot_rows is None:
         return _windowed(df, metrics, stats, whole, carried).select(*names)
 
-    # at most (all rows / hot_rows) keys; written once, so Spark knows its size
     sizes = df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
-    hot = stage(sizes.where(F.col("_n") > hot_rows).select("_hot"), "hot-keys")
+    hot = sizes.where(F.col("_n") > hot_rows).select("_hot")
     if hot.isEmpty():
         return _windowed(df, metrics, stats, whole, carried).select(*names)
+    # at most (all rows / hot_rows) keys; written, so Spark knows their size and
+    # broadcasts them only where they are few
+    hot = stage(hot, "hot-keys")
     is_hot = df[key].eqNullSafe(hot["_hot"])
     cold = df.join(hot, is_hot, "left_anti")
     ranged = with_halo(df.join(hot, is_hot, "left_semi"), rows, key, order)

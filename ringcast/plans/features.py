@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ringcast.operators.counts import HISTORY_DAYS, add_contact_history
-from ringcast.operators.dataset import between_days
+from ringcast.operators.dataset import between_days, one_per_account
 from ringcast.operators.labels import TECHNICAL_CATEGORIES, call_labels
 from ringcast.operators.panel import add_wifi, modem_panel
 from ringcast.operators.rolling import HOT_ROWS, rolling_stats
@@ -45,6 +45,7 @@ METRICS = (
 )
 STATS = ("avg", "var", "kurtosis")
 ROWS_BEFORE = 14
+NEAR_DAYS = 45
 COUNTS = tuple(f"call_count_{n}" for n in (0, 30, 60, 10, 120))
 FEATURES = (*COUNTS, *(f"{m}_{s}" for m in METRICS for s in STATS))
 
@@ -110,31 +111,56 @@ class Feeds:
         }
 
 
+def last_rows(
+    rows: DataFrame,
+    n: int,
+    key: str = "account_number",
+    order: Sequence[str] = ("event_date", "mac"),
+) -> DataFrame:
+    """The last ``n`` rows of each key.
+
+    Spark already cuts each key to ``n`` rows in every map task
+    (WindowGroupLimit), so a large key does not reach one task whole.
+    """
+    latest = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order])
+    return rows.withColumn("_rank", F.row_number().over(latest)).where(F.col("_rank") <= n).drop("_rank")
+
+
 def history_slice(
-    panel: DataFrame,
+    feeds: Feeds,
     start: str | dt.date,
     end: str | dt.date,
     rows: int = ROWS_BEFORE,
-    key: str = "account_number",
-    order: Sequence[str] = ("event_date", "mac"),
+    near_days: int = NEAR_DAYS,
 ) -> DataFrame:
-    """Rows of [start, end] and, for the accounts in it, the ``rows`` rows before.
+    """Panel rows of [start, end], and the ``rows`` rows before of the accounts in it.
 
-    All a row frame over [start, end] can reach. The ranking keeps ``rows``
-    rows per account already before the shuffle (WindowGroupLimit).
+    That is all a row frame over these days can reach. Rows are looked for in
+    the last ``near_days`` first; older days are joined only for accounts that
+    have too few there and do have older modem rows.
     """
-    day = order[0]
-    inside = between_days(panel, start, end, day)
-    seen = inside.select(F.col(key).alias("_seen")).distinct()
-    latest = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order])
-    before = panel.where(F.col(day) < F.lit(start).cast("date"))
-    before = (
-        before.join(seen, before[key].eqNullSafe(seen["_seen"]), "left_semi")
-        .withColumn("_rank", F.row_number().over(latest))
-        .where(F.col("_rank") <= rows)
-        .drop("_rank")
+    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+    oldest = F.date_sub(first, near_days)
+    day, account = F.col("event_date"), F.col("account_number")
+
+    near = stage(feeds.panel().where(day.between(oldest, last)), "panel-near")
+    inside = near.where(day >= first)
+    before = near.where(day < first)
+    seen = inside.select(account.alias("_seen")).distinct()
+    found = before.groupBy(account.alias("_found")).agg(F.count(F.lit(1)).alias("_n"))
+    short = stage(
+        seen.join(found, F.col("_seen").eqNullSafe(F.col("_found")), "left")
+        .where(F.coalesce("_n", F.lit(0)) < rows)
+        .select("_seen"),
+        "short-accounts",
     )
-    return inside.unionByName(before)
+    past = feeds.accessibility.where(day < oldest)
+    past = past.join(short, past["account_number"].eqNullSafe(short["_seen"]), "left_semi")
+    if not past.isEmpty():
+        older = replace(feeds, accessibility=past).panel().where(day < oldest)
+        before = before.unionByName(last_rows(older, rows))
+    before = before.join(seen, before["account_number"].eqNullSafe(seen["_seen"]), "left_semi")
+    return inside.unionByName(last_rows(before, rows))
 
 
 def feature_frame(
@@ -145,6 +171,7 @@ def feature_frame(
     compat: bool = False,
     with_mac: bool = False,
     hot_rows: int | None = HOT_ROWS,
+    near_days: int = NEAR_DAYS,
 ) -> DataFrame:
     """Keys, contact counts and rolling statistics: 73 columns, and ``mac`` on request.
 
@@ -160,7 +187,7 @@ def feature_frame(
         days = panel.where(F.col("event_date").between(reach, F.lit(end).cast("date"))).select(
             "account_number", "event_date"
         )
-        panel = stage(history_slice(panel, start, end, -agg_window), "panel-slice")
+        panel = stage(history_slice(feeds, start, end, -agg_window, near_days), "panel-slice")
     rolled = rolling_stats(
         panel,
         METRICS,
@@ -178,23 +205,16 @@ def feature_frame(
     return full.select(*keys, *FEATURES)
 
 
-def point_in_time(feeds: Feeds, when: str | dt.date) -> DataFrame:
+def point_in_time(feeds: Feeds, when: str | dt.date, near_days: int = NEAR_DAYS) -> DataFrame:
     """One feature row per account seen on one day, by aggregation alone.
 
     Equals the ``feature_frame`` row of the account's first modem on that day.
     """
     day = F.lit(when).cast("date")
-    panel = feeds.panel()
-    slice_ = stage(
-        history_slice(
-            panel.where((F.col("event_date") < day)).unionByName(
-                _first_modem(panel.where(F.col("event_date") == day))
-            ),
-            when,
-            when,
-        ),
-        "day-slice",
-    )
+    slice_ = history_slice(feeds, when, when, near_days=near_days)
+    today = one_per_account(slice_.where(F.col("event_date") == day), order=["mac"])
+    earlier = slice_.where(F.col("event_date") < day)
+    slice_ = earlier.unionByName(today)
     moments = []
     for m in METRICS:
         x = F.col(m).cast("double")
@@ -208,7 +228,8 @@ def point_in_time(feeds: Feeds, when: str | dt.date) -> DataFrame:
     )
     reach = F.date_sub(day, max(HISTORY_DAYS))
     present = (
-        panel.where(F.col("event_date").between(reach, day))
+        feeds.panel()
+        .where(F.col("event_date").between(reach, day))
         .groupBy("account_number", "event_date")
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
@@ -219,18 +240,14 @@ def point_in_time(feeds: Feeds, when: str | dt.date) -> DataFrame:
     )
     per_day = present.join(opened, ["account_number", "event_date"], "left").fillna({"_cases": 0})
     ago = F.date_diff(day, F.col("event_date"))
-    today = F.max(F.when(ago == 0, F.col("_cases"))).alias("call_count_0")
+    same_day = F.max(F.when(ago == 0, F.col("_cases"))).alias("call_count_0")
     trailing = [
         F.sum(F.when(ago.between(1, n), F.col("_rows") * F.col("_cases"))).alias(f"call_count_{n}")
         for n in HISTORY_DAYS
     ]
-    counts = per_day.groupBy(F.col("account_number").alias("_account")).agg(today, *trailing)
+    counts = per_day.groupBy(F.col("account_number").alias("_account")).agg(same_day, *trailing)
     same = rolled["account_number"].eqNullSafe(counts["_account"])
     return rolled.join(counts, same).select(
         "account_number", day.alias("event_date"), "mac", *FEATURES
     )
 
-
-def _first_modem(rows: DataFrame) -> DataFrame:
-    whole = F.min_by(F.struct(*rows.columns), "mac").alias("_row")
-    return rows.groupBy(F.col("account_number").alias("_account")).agg(whole).select("_row.*")

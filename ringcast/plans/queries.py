@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -42,6 +43,11 @@ def rounded(df: DataFrame, columns: Sequence[str], digits: int = DIGITS) -> Data
     return df.select(*[cut[c].alias(c) if c in cut else F.col(c) for c in df.columns])
 
 
+def _fresh(spark: SparkSession, name: str) -> str:
+    """Base folder of an output, new on every call."""
+    return f"{shared_dir(spark)}/ringcast/{name}-{uuid.uuid4().hex}"
+
+
 def _feeds(spark: SparkSession, sf: str) -> Feeds:
     return Feeds.read(spark, RawTables(spark, sf), KEPT)
 
@@ -327,10 +333,9 @@ def ground_truth_rule1(spark, sf):
 @query
 def ground_truth_table(spark, sf):
     """The same, saved as a catalog table and read back by name."""
-    name = f"gt_{abs(hash(shared_dir(spark)))}"
     truth = labels.ground_truth(*_speech(spark, sf), KEPT)
-    sinks.save_table(truth, name, mode="overwrite")
-    return sources.read_dataset(spark, name)
+    sinks.save_table(truth, "ringcast_ground_truth", "overwrite", _fresh(spark, "table"))
+    return sources.read_dataset(spark, "ringcast_ground_truth")
 
 
 @query
@@ -570,8 +575,11 @@ def feature_panel(spark, sf):
 
 @query
 def feature_days(spark, sf):
-    """The same for some days only, from a slice of the history."""
-    return rounded(feature_frame(_feeds(spark, sf), *TEST), CONTINUOUS)
+    """The same for some days only, from a slice of the history.
+
+    Looks back four days first, so that most accounts need their older rows.
+    """
+    return rounded(feature_frame(_feeds(spark, sf), *TEST, near_days=4), CONTINUOUS)
 
 
 @query
@@ -663,13 +671,6 @@ def saved_model_score(spark, sf):
 # --- sinks and streaming -----------------------------------------------------
 
 
-def _fresh(spark: SparkSession, name: str) -> str:
-    """Base folder of a roundtrip, new on every call."""
-    import uuid
-
-    return f"{shared_dir(spark)}/ringcast/{name}-{uuid.uuid4().hex}"
-
-
 @query
 def latest_archive_roundtrip(spark, sf):
     """Two days archived, one of them again: LATEST and both partitions read back."""

@@ -39,8 +39,12 @@ def write_latest_archive(
     return str(batch_date)
 
 
-def save_table(df: DataFrame, name: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).saveAsTable(name)
+def save_table(
+    df: DataFrame, name: str, mode: str = "errorifexists", path: str | None = None
+) -> None:
+    """Create a catalog table from ``df``; with ``path`` its files live there."""
+    writer = df.write.mode(mode)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def log_metrics(df: DataFrame, path: str) -> None:
