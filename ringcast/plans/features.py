@@ -126,18 +126,27 @@ def last_rows(
     return rows.withColumn("_rank", F.row_number().over(latest)).where(F.col("_rank") <= n).drop("_rank")
 
 
+@dataclass(frozen=True)
+class History:
+    """What the features of some days need of the panel."""
+
+    rows: DataFrame  # panel rows of the days, and those before that frames reach
+    days: DataFrame  # (account_number, event_date) of every panel row counts reach
+
+
 def history_slice(
     feeds: Feeds,
     start: str | dt.date,
     end: str | dt.date,
     rows: int = ROWS_BEFORE,
     near_days: int = NEAR_DAYS,
-) -> DataFrame:
+) -> History:
     """Panel rows of [start, end], and the ``rows`` rows before of the accounts in it.
 
     That is all a row frame over these days can reach. Rows are looked for in
     the last ``near_days`` first; older days are joined only for accounts that
-    have too few there and do have older modem rows.
+    have too few there and do have older modem rows. Day counts reach back
+    further, but need only the keys of the older days.
     """
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
     oldest = F.date_sub(first, near_days)
@@ -160,7 +169,14 @@ def history_slice(
         older = replace(feeds, accessibility=past).panel().where(day < oldest)
         before = before.unionByName(last_rows(older, rows))
     before = before.join(seen, before["account_number"].eqNullSafe(seen["_seen"]), "left_semi")
-    return inside.unionByName(last_rows(before, rows))
+
+    reach = F.date_sub(first, max(HISTORY_DAYS))
+    keys = ["account_number", "event_date"]
+    far = feeds.panel().where((day >= reach) & (day < oldest)).select(*keys)
+    return History(
+        rows=inside.unionByName(last_rows(before, rows)),
+        days=near.where(day >= reach).select(*keys).unionByName(far),
+    )
 
 
 def feature_frame(
@@ -178,16 +194,12 @@ def feature_frame(
     With ``start`` and ``end`` only the rows of those days are produced, with
     the same values, from a slice of the history instead of all of it.
     """
-    panel = feeds.panel()
-    days = None
     if start is None or end is None:
-        panel = stage(panel, "panel")
+        panel = stage(feeds.panel(), "panel")
+        days = panel
     else:
-        reach = F.date_sub(F.lit(start).cast("date"), max(HISTORY_DAYS))
-        days = panel.where(F.col("event_date").between(reach, F.lit(end).cast("date"))).select(
-            "account_number", "event_date"
-        )
-        panel = stage(history_slice(feeds, start, end, -agg_window, near_days), "panel-slice")
+        history = history_slice(feeds, start, end, -agg_window, near_days)
+        panel, days = stage(history.rows, "panel-slice"), history.days
     rolled = rolling_stats(
         panel,
         METRICS,
@@ -196,11 +208,9 @@ def feature_frame(
         hot_rows=hot_rows,
         keep=["account_number", "event_date", "mac"],
     )
-    if days is not None:
+    if start is not None and end is not None:
         rolled = between_days(rolled, start, end)
-    full = add_contact_history(
-        rolled, feeds.cases, compat=compat, days=days if days is not None else panel
-    )
+    full = add_contact_history(rolled, feeds.cases, compat=compat, days=days)
     keys = ["account_number", "event_date", *(["mac"] if with_mac else [])]
     return full.select(*keys, *FEATURES)
 
@@ -211,10 +221,9 @@ def point_in_time(feeds: Feeds, when: str | dt.date, near_days: int = NEAR_DAYS)
     Equals the ``feature_frame`` row of the account's first modem on that day.
     """
     day = F.lit(when).cast("date")
-    slice_ = history_slice(feeds, when, when, near_days=near_days)
-    today = one_per_account(slice_.where(F.col("event_date") == day), order=["mac"])
-    earlier = slice_.where(F.col("event_date") < day)
-    slice_ = earlier.unionByName(today)
+    history = history_slice(feeds, when, when, near_days=near_days)
+    today = one_per_account(history.rows.where(F.col("event_date") == day), order=["mac"])
+    reached = history.rows.where(F.col("event_date") < day).unionByName(today)
     moments = []
     for m in METRICS:
         x = F.col(m).cast("double")
@@ -223,15 +232,12 @@ def point_in_time(feeds: Feeds, when: str | dt.date, near_days: int = NEAR_DAYS)
             (F.avg(x * x) - F.avg(x) * F.avg(x)).alias(f"{m}_var"),
             F.avg(x * x * x * x).alias(f"{m}_kurtosis"),
         ]
-    rolled = slice_.groupBy("account_number").agg(
+    rolled = reached.groupBy("account_number").agg(
         F.max_by("mac", F.struct("event_date", "mac")).alias("mac"), *moments
     )
     reach = F.date_sub(day, max(HISTORY_DAYS))
-    present = (
-        feeds.panel()
-        .where(F.col("event_date").between(reach, day))
-        .groupBy("account_number", "event_date")
-        .agg(F.count(F.lit(1)).alias("_rows"))
+    present = history.days.groupBy("account_number", "event_date").agg(
+        F.count(F.lit(1)).alias("_rows")
     )
     opened = (
         feeds.cases.where(F.col("creation_time").between(reach, day))
