@@ -9,6 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
+    LogisticRegressionModel,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
@@ -104,6 +105,11 @@ class StackedModel:
             model.write().overwrite().save(f"{path}/base_{name}")
         self.final.write().overwrite().save(f"{path}/final")
 
+    @classmethod
+    def load(cls, path: str) -> StackedModel:
+        bases = {kind: PipelineModel.load(f"{path}/base_{kind}") for kind in ("rf", "gbt")}
+        return cls(bases, LogisticRegressionModel.load(f"{path}/final"))
+
 
 def fit_stack(
     df: DataFrame,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ringcast.session import stage
 
 STATS = ("avg", "var", "kurtosis", "sum", "max")
-HOT_ROWS = 2_000_000
+HOT_ROWS = 5_000_000
 
 
 def rolling_stats(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ringcast.functions import scalar
 from ringcast.operators import counts, dataset, explain, labels, metrics, models, panel, quality
 from ringcast.operators.chats import chat_history, chat_sessions
-from ringcast.operators.rolling import rolling_stats
+from ringcast.operators.rolling import HOT_ROWS, rolling_stats
 from ringcast.plans import inference, training
 from ringcast.plans.features import FEATURES, METRICS, Feeds, feature_frame, point_in_time
 from ringcast.plans.testdata import KEPT, RawTables
@@ -60,6 +60,31 @@ def _panel(spark: SparkSession, sf: str) -> DataFrame:
     return _feeds(spark, sf).panel()
 
 
+def _modem_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys of every modem-day: the narrow panel of the count and label queries."""
+    return _read(spark, sf, specs.ACCESSIBILITY).select("account_number", "event_date", "mac")
+
+
+def _cases(spark: SparkSession, sf: str) -> DataFrame:
+    return _read(spark, sf, specs.SUPPORT_CASES)
+
+
+def _speech(spark: SparkSession, sf: str) -> list[DataFrame]:
+    raw = RawTables(spark, sf)
+    wanted = (
+        specs.CONVERSATIONS, specs.SESSIONS_BOOKED, specs.SESSIONS_CATEGORIES, specs.CATEGORIES
+    )
+    return [sources.read(spark, spec, raw) for spec in wanted]
+
+
+def _call_labels(spark: SparkSession, sf: str) -> DataFrame:
+    return labels.call_labels(*_speech(spark, sf), KEPT)
+
+
+def _attached(spark: SparkSession, sf: str) -> DataFrame:
+    return labels.attach_label(_modem_days(spark, sf), _call_labels(spark, sf))
+
+
 # --- sources -----------------------------------------------------------------
 
 
@@ -87,7 +112,7 @@ def rescale(spark, sf):
 
 @query
 def scan_cases(spark, sf):
-    return _read(spark, sf, specs.SUPPORT_CASES)
+    return _cases(spark, sf)
 
 
 @query
@@ -160,9 +185,12 @@ def key_normalize(spark, sf):
 
 @query
 def panel_inner(spark, sf):
-    f = _feeds(spark, sf)
     joined = panel.modem_panel(
-        f.accessibility, f.service_quality, f.attainability, f.intermittency, f.usage
+        _read(spark, sf, specs.ACCESSIBILITY),
+        _read(spark, sf, specs.SERVICE_QUALITY, "channel_number = 0"),
+        _read(spark, sf, specs.ATTAINABILITY),
+        _read(spark, sf, specs.INTERMITTENCY),
+        _read(spark, sf, specs.USAGE_RANKED),
     )
     names = ["account_number", "event_date", "mac", *METRICS[:-3]]
     return rounded(joined.select(*names), [m for m in METRICS[:-3] if m not in INTEGERS])
@@ -178,15 +206,16 @@ INTEGERS = (
 
 @query
 def wifi_left_fill(spark, sf):
-    f = _feeds(spark, sf)
-    joined = panel.add_wifi(f.accessibility.select("mac", "event_date"), f.whix)
+    joined = panel.add_wifi(
+        _modem_days(spark, sf).drop("account_number"), _read(spark, sf, specs.WHIX)
+    )
     return rounded(joined.drop("gw_mac"), ["whix_daily", "daily_wifi_disconnects"])
 
 
 # --- rolling statistics ------------------------------------------------------
 
 
-def _rolling(spark, sf, stat, metrics_=SHORT, rows=14, hot_rows=2_000_000):
+def _rolling(spark, sf, stat, metrics_=SHORT, rows=14, hot_rows=HOT_ROWS):
     staged = stage(_panel(spark, sf), "panel")
     keys = ["account_number", "event_date", "mac"]
     out = rolling_stats(staged, metrics_, [stat], rows, hot_rows=hot_rows, keep=keys)
@@ -234,16 +263,12 @@ def rolling_split_accounts(spark, sf):
 
 @query
 def same_day_count(spark, sf):
-    f = _feeds(spark, sf)
-    return counts.add_same_day(f.accessibility.select("account_number", "event_date", "mac"), f.cases)
+    return counts.add_same_day(_modem_days(spark, sf), _cases(spark, sf))
 
 
 @query
 def same_day_count_compat(spark, sf):
-    f = _feeds(spark, sf)
-    return counts.add_same_day(
-        f.accessibility.select("account_number", "event_date", "mac"), f.cases, compat=True
-    )
+    return counts.add_same_day(_modem_days(spark, sf), _cases(spark, sf), compat=True)
 
 
 def _order_history(spark, sf, windows, compat=False):
@@ -296,14 +321,6 @@ def trailing_of_column(spark, sf):
 # --- labels ------------------------------------------------------------------
 
 
-def _speech(spark, sf):
-    raw = RawTables(spark, sf)
-    return [
-        sources.read(spark, s, raw)
-        for s in (specs.CONVERSATIONS, specs.SESSIONS_BOOKED, specs.SESSIONS_CATEGORIES, specs.CATEGORIES)
-    ]
-
-
 @query
 def session_category(spark, sf):
     _, _, named, categories = _speech(spark, sf)
@@ -322,7 +339,7 @@ def label_key2(spark, sf):
 
 @query
 def label_union_distinct(spark, sf):
-    return labels.call_labels(*_speech(spark, sf), KEPT)
+    return _call_labels(spark, sf)
 
 
 @query
@@ -340,27 +357,23 @@ def ground_truth_table(spark, sf):
 
 @query
 def label_attach(spark, sf):
-    f = _feeds(spark, sf)
-    return labels.attach_label(f.accessibility.select("account_number", "event_date", "mac"), f.labels)
+    return _attached(spark, sf)
 
 
 @query
 def case_label(spark, sf):
-    f = _feeds(spark, sf)
-    return labels.case_label(f.accessibility.select("account_number", "event_date", "mac"), f.cases)
+    return labels.case_label(_modem_days(spark, sf), _cases(spark, sf))
 
 
 @query
 def next_day_case_label(spark, sf):
-    f = _feeds(spark, sf)
-    rows = f.accessibility.select("account_number", "event_date", "mac")
-    return labels.next_day_case_label(rows, f.cases, ["Tech"], ["Ticket", "Truck"])
+    return labels.next_day_case_label(
+        _modem_days(spark, sf), _cases(spark, sf), ["Tech"], ["Ticket", "Truck"]
+    )
 
 
 def _labelled(spark, sf):
-    f = _feeds(spark, sf)
-    rows = f.accessibility.select("account_number", "event_date", "mac")
-    return stage(labels.attach_label(rows, f.labels), "labelled")
+    return stage(_attached(spark, sf), "labelled")
 
 
 @query
@@ -370,9 +383,7 @@ def forward_label(spark, sf):
 
 @query
 def forward_label_legacy(spark, sf):
-    f = _feeds(spark, sf)
-    rows = f.accessibility.select("account_number", "event_date", "mac")
-    cased = stage(labels.case_label(rows, f.cases), "cased")
+    cased = stage(labels.case_label(_modem_days(spark, sf), _cases(spark, sf)), "cased")
     return labels.forward_label(cased, "target_icm", 15).drop("label_complete")
 
 
@@ -400,7 +411,7 @@ def chat_join(spark, sf):
 
 @query
 def chat_case_history(spark, sf):
-    return chat_history(_chats(spark, sf), _read(spark, sf, specs.SUPPORT_CASES))
+    return chat_history(_chats(spark, sf), _cases(spark, sf))
 
 
 @query
@@ -412,7 +423,7 @@ def chat_own_history(spark, sf):
 
 @query
 def chat_compat(spark, sf):
-    return chat_history(_chats(spark, sf), _read(spark, sf, specs.SUPPORT_CASES), compat=True)
+    return chat_history(_chats(spark, sf), _cases(spark, sf), compat=True)
 
 
 # --- datasets ----------------------------------------------------------------
@@ -429,10 +440,7 @@ def date_split(spark, sf):
 
 def _targets(spark, sf):
     """Narrow labelled rows of the training days."""
-    f = _feeds(spark, sf)
-    rows = f.accessibility.select("account_number", "event_date", "mac")
-    labelled = stage(labels.attach_label(rows, f.labels), "labelled")
-    return labels.forward_label(labelled, days=3).drop("window", "label_complete")
+    return labels.forward_label(_labelled(spark, sf), days=3).drop("window", "label_complete")
 
 
 @query
@@ -483,9 +491,7 @@ def class_profile(spark, sf):
 
 def _history(spark, sf):
     """Contact history with NULLs where an account has no earlier rows."""
-    f = _feeds(spark, sf)
-    rows = f.accessibility.select("account_number", "event_date", "mac")
-    return counts.add_contact_history(rows, f.cases)
+    return counts.add_contact_history(_modem_days(spark, sf), _cases(spark, sf))
 
 
 @query
@@ -500,9 +506,10 @@ def drop_null(spark, sf):
 
 @query
 def dedupe_account(spark, sf):
-    f = _feeds(spark, sf)
-    rows = f.accessibility.select("account_number", "event_date", "mac", "outage_count")
-    return dataset.one_per_account(labels.attach_label(rows, f.labels))
+    rows = _read(spark, sf, specs.ACCESSIBILITY).select(
+        "account_number", "event_date", "mac", "outage_count"
+    )
+    return dataset.one_per_account(labels.attach_label(rows, _call_labels(spark, sf)))
 
 
 # --- quality -----------------------------------------------------------------

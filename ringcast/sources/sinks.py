@@ -8,6 +8,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ringcast.operators.models import StackedModel
+
 
 def write_parquet(
     df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False
@@ -66,5 +68,5 @@ def save_model(model, base: str, name: str, day: dt.date | None = None) -> str:
     return path
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str, kind: str = "rf") -> PipelineModel | StackedModel:
+    return StackedModel.load(path) if kind == "stack" else PipelineModel.load(path)

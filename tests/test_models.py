@@ -34,11 +34,16 @@ def test_fit_and_score(data, kind):
     assert scored.where("score < 0 or score > 1 or (score > 0.5) <> (pred = 1)").isEmpty()
 
 
-def test_stack(data):
+def test_stack(data, tmp_path):
     model = models.fit_stack(data, folds=3, params=SMALL)
     scored = models.apply_model(data, model)
     assert scored.columns == [*data.columns, "pred", "score"]
     assert metrics.roc_auc(scored).first().roc_auc > 0.9
+    again = sinks.load_model(sinks.save_model(model, str(tmp_path), "stack"), "stack")
+    pick = ["account_number", "pred"]
+    assert sorted(scored.select(pick).collect()) == sorted(
+        models.apply_model(data, again).select(pick).collect()
+    )
 
 
 def test_null_features_score_as_zero(data):
