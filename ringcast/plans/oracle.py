@@ -10,8 +10,10 @@ import datetime as dt
 
 from ringcast.plans.features import FEATURES, HISTORY_DAYS, METRICS, STATS
 from ringcast.plans.queries import CONTINUOUS, INTEGERS, SCORING_DAY, SHORT, TEST, TRAIN
-from ringcast.plans.testdata import KEPT
+from ringcast.plans.testdata import KEPT, UNEVEN
 
+# weight of the fractional metrics, as in the test data adapter
+W = f"{UNEVEN!r}::double"
 KEPT_LIST = ", ".join(f"'{name}'" for name in KEPT)
 
 VIEWS = f"""
@@ -25,35 +27,36 @@ ev as (
 accessibility as (
   select mac, event_date, min(user_id) as account_number,
     count(*) filter (event_type = 'error') as outage_count,
-    (100::double * (count(*) - count(*) filter (event_type = 'error')) / count(*)) / 100::double
+    ({W} * (count(*) - count(*) filter (event_type = 'error')) / count(*)) / 100::double
       as "ACCESSIBILITY_PERC_FULL_DAY",
-    (100::double * count(*) filter (minute_of_day >= 1080) / count(*)) / 100::double
+    ({W} * count(*) filter (minute_of_day >= 1080) / count(*)) / 100::double
       as "ACCESSIBILITY_PERC_PRIME"
   from ev group by mac, event_date),
 quality_all as (
   select mac, event_date, case when value < 60 then 0 else 1 end as channel_number,
-    sum(cents)::double / (count(*)::double * 7000) as codeword_error_rate,
-    sum(cents)::double / (count(*)::double * 100) / 364::double as cmts_cm_us_signal_noise_avg,
-    max(cents)::double / 100 / 380::double as cmts_cm_us_signal_noise_max,
-    sum(cents)::double / 100 / 1000::double as cmts_cm_us_signal_noise_sum,
-    sum(minute)::double / (count(*)::double * 9) / 10::double as cmts_cm_us_rx_power_avg,
-    max(minute)::double / 9 / 12::double as cmts_cm_us_rx_power_max,
-    sum(minute)::double / 9 / 200::double as cmts_cm_us_rx_power_sum
+    {W} * sum(cents) / (count(*)::double * 100000) as codeword_error_rate,
+    {W} * sum(cents) / (count(*)::double * 10000) / 364::double as cmts_cm_us_signal_noise_avg,
+    {W} * max(cents) / 10000 / 380::double as cmts_cm_us_signal_noise_max,
+    {W} * sum(cents) / 10000 / 1000::double as cmts_cm_us_signal_noise_sum,
+    {W} * sum(minute) / (count(*)::double * 1000) / 10::double as cmts_cm_us_rx_power_avg,
+    {W} * max(minute) / 1000 / 12::double as cmts_cm_us_rx_power_max,
+    {W} * sum(minute) / 1000 / 200::double as cmts_cm_us_rx_power_sum
   from ev group by 1, 2, 3),
 service_quality as (select * from quality_all where channel_number = 0),
 attainability as (
   select mac, event_date,
-    sum(case when event_type in ('view', 'error') then cents else 0 end)::double / 70000
+    {W} * sum(case when event_type in ('view', 'error') then cents else 0 end) / 1000000
       as "US_SPEED_ATTAINABLE_FULL",
-    sum(case when event_type in ('click', 'signup') then cents else 0 end)::double / 70000
+    {W} * sum(case when event_type in ('click', 'signup') then cents else 0 end) / 1000000
       as "DS_SPEED_ATTAINABLE_FULL",
-    (count(*) filter (value > 20))::double / count(*) as attainability_pct,
-    sum(case when event_type = 'purchase' then cents else 0 end)::double / 7 / 1000::double as up_gb,
-    sum(cents)::double / 70 / 1000::double as down_gb
+    {W} * count(*) filter (value > 20) / (count(*) * 100) as attainability_pct,
+    {W} * sum(case when event_type = 'purchase' then cents else 0 end) / 1000 / 1000::double
+      as up_gb,
+    {W} * sum(cents) / 1000 / 1000::double as down_gb
   from ev group by mac, event_date),
 intermittency as (
   select mac, event_date,
-    (max(minute_of_day) - min(minute_of_day))::double / 1440 as "Intermittent_hrs",
+    {W} * (max(minute_of_day) - min(minute_of_day)) / 144000 as "Intermittent_hrs",
     count(*) - 1 as transitions,
     count(*) filter (event_type = 'error') as "Offline_counts"
   from ev group by mac, event_date),
@@ -68,8 +71,9 @@ usage_ranked as (
   from ev group by mac, event_date),
 whix as (
   select upper(regexp_replace(mac, '-', '', 'g')) as gw_mac, event_date,
-    sum(cents)::double / (count(*)::double * 70) / 100::double as whix_daily,
-    (count(*) filter (event_type = 'error'))::double / count(*) as daily_wifi_disconnects,
+    {W} * sum(cents) / (count(*)::double * 10000) / 100::double as whix_daily,
+    {W} * count(*) filter (event_type = 'error') / (count(*)::double * 100)
+      as daily_wifi_disconnects,
     nullif(count(*) filter (value > 80), 0) as "COUNT_DAILY_GW_WIFI_TOOHOT"
   from ev where event_type in ('click', 'error') group by 1, 2),
 support_cases as (

@@ -8,12 +8,17 @@ that both engines see bit-equal inputs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Weight of every fractional metric. Plain decimals have means that end exactly
+# in a rounding tie, where the last bit of a sum would decide a comparison.
+UNEVEN = 10 * math.pi
+
 # category names kept in the label queries
 KEPT = tuple(f"NATION_{i}" for i in range(11))
 
@@ -87,23 +92,23 @@ class RawTables(Mapping):
             "mac",
             F.min("user_id").alias("FULL_ACCOUNT_NUMBER"),
             errors.alias("outage_count"),
-            (F.lit(100.0) * (n - errors) / n).alias("ACCESSIBILITY_PERC_FULL_DAY"),
-            (F.lit(100.0) * prime / n).alias("ACCESSIBILITY_PERC_PRIME"),
+            (F.lit(UNEVEN) * (n - errors) / n).alias("ACCESSIBILITY_PERC_FULL_DAY"),
+            (F.lit(UNEVEN) * prime / n).alias("ACCESSIBILITY_PERC_PRIME"),
         )
 
     def _service_quality(self) -> DataFrame:
-        n, cents = F.count(F.lit(1)).cast("double"), F.sum("cents").cast("double")
-        minutes = F.sum("minute").cast("double")
+        n, cents = F.count(F.lit(1)).cast("double"), F.lit(UNEVEN) * F.sum("cents")
+        minutes = F.lit(UNEVEN) * F.sum("minute")
         channel = F.when(F.col("value") < 60, 0).otherwise(1).alias("channel_number")
         return self._by_modem_day(
             "mac",
-            (cents / (n * 7000)).alias("codeword_error_rate"),
-            (cents / (n * 100)).alias("cmts_cm_us_signal_noise_avg"),
-            (F.max("cents").cast("double") / 100).alias("cmts_cm_us_signal_noise_max"),
-            (cents / 100).alias("cmts_cm_us_signal_noise_sum"),
-            (minutes / (n * 9)).alias("cmts_cm_us_rx_power_avg"),
-            (F.max("minute").cast("double") / 9).alias("cmts_cm_us_rx_power_max"),
-            (minutes / 9).alias("cmts_cm_us_rx_power_sum"),
+            (cents / (n * 100000)).alias("codeword_error_rate"),
+            (cents / (n * 10000)).alias("cmts_cm_us_signal_noise_avg"),
+            (F.lit(UNEVEN) * F.max("cents") / 10000).alias("cmts_cm_us_signal_noise_max"),
+            (cents / 10000).alias("cmts_cm_us_signal_noise_sum"),
+            (minutes / (n * 1000)).alias("cmts_cm_us_rx_power_avg"),
+            (F.lit(UNEVEN) * F.max("minute") / 1000).alias("cmts_cm_us_rx_power_max"),
+            (minutes / 1000).alias("cmts_cm_us_rx_power_sum"),
             extra=(channel,),
         )
 
@@ -113,22 +118,24 @@ class RawTables(Mapping):
 
         return self._by_modem_day(
             "CM_MAC_ADDR",
-            ((total("view") + total("error")).cast("double") / 70000).alias(
+            (F.lit(UNEVEN) * (total("view") + total("error")) / 1000000).alias(
                 "US_SPEED_ATTAINABLE_FULL"
             ),
-            ((total("click") + total("signup")).cast("double") / 70000).alias(
+            (F.lit(UNEVEN) * (total("click") + total("signup")) / 1000000).alias(
                 "DS_SPEED_ATTAINABLE_FULL"
             ),
-            (F.count_if(F.col("value") > 20) / F.count(F.lit(1))).alias("Attainability_Pct"),
-            (total("purchase").cast("double") / 7).alias("UP_MBYTES"),
-            (F.sum("cents").cast("double") / 70).alias("DOWN_MBYTES"),
+            (F.lit(UNEVEN) * F.count_if(F.col("value") > 20) / (F.count(F.lit(1)) * 100)).alias(
+                "Attainability_Pct"
+            ),
+            (F.lit(UNEVEN) * total("purchase") / 1000).alias("UP_MBYTES"),
+            (F.lit(UNEVEN) * F.sum("cents") / 1000).alias("DOWN_MBYTES"),
         )
 
     def _intermittency(self) -> DataFrame:
-        span = (F.max("minute_of_day") - F.min("minute_of_day")).cast("double")
+        span = F.lit(UNEVEN) * (F.max("minute_of_day") - F.min("minute_of_day"))
         return self._by_modem_day(
             "cm_mac_addr",
-            (span / 1440).alias("Intermittent_hrs"),
+            (span / 144000).alias("Intermittent_hrs"),
             (F.count(F.lit(1)) - 1).alias("transitions"),
             F.count_if(F.col("event_type") == "error").alias("Offline_counts"),
         )
@@ -156,8 +163,8 @@ class RawTables(Mapping):
         hot = F.count_if(F.col("value") > 80)
         gateway = F.upper(F.regexp_replace("mac", "-", "")).alias("GW_MAC_ADDRESS")
         return noisy.groupBy(gateway, "event_date").agg(
-            (F.sum("cents").cast("double") / (n * 70)).alias("AVG_DAY_WIFI_HAPPINESS_INDEX"),
-            (F.count_if(F.col("event_type") == "error") / n).alias("AVG_DAILY_WIFI_DISCONNECTS"),
+            (F.lit(UNEVEN) * F.sum("cents") / (n * 10000)).alias("AVG_DAY_WIFI_HAPPINESS_INDEX"),
+            (F.lit(UNEVEN) * F.count_if(F.col("event_type") == "error") / (n * 100)).alias("AVG_DAILY_WIFI_DISCONNECTS"),
             F.when(hot > 0, hot).alias("COUNT_DAILY_GW_WIFI_TOOHOT"),
         )
 
