@@ -130,7 +130,7 @@ def last_rows(
 class History:
     """What the features of some days need of the panel."""
 
-    rows: DataFrame  # panel rows of the days, and those before that frames reach
+    rows: DataFrame  # panel rows of the days, and each account's last ones before
     days: DataFrame  # (account_number, event_date) of every panel row counts reach
 
 
@@ -141,7 +141,7 @@ def history_slice(
     rows: int = ROWS_BEFORE,
     near_days: int = NEAR_DAYS,
 ) -> History:
-    """Panel rows of [start, end], and the ``rows`` rows before of the accounts in it.
+    """Panel rows of [start, end], and each account's last ``rows`` rows before.
 
     That is all a row frame over these days can reach. Rows are looked for in
     the last ``near_days`` first; older days are joined only for accounts that
@@ -153,32 +153,33 @@ def history_slice(
     day, account = F.col("event_date"), F.col("account_number")
 
     near = stage(feeds.panel().where(day.between(oldest, last)), "panel-near")
-    inside = near.where(day >= first)
     before = near.where(day < first)
-    seen = inside.select(account.alias("_seen")).distinct()
-    found = before.groupBy(account.alias("_found")).agg(F.count(F.lit(1)).alias("_n"))
-    short = stage(
-        seen.join(found, F.col("_seen").eqNullSafe(F.col("_found")), "left")
-        .where(F.coalesce("_n", F.lit(0)) < rows)
-        .select("_seen"),
-        "short-accounts",
+    found = near.groupBy(account.alias("_short")).agg(
+        F.count_if(day >= first).alias("_inside"), F.count_if(day < first).alias("_before")
     )
+    short = found.where((F.col("_inside") > 0) & (F.col("_before") < rows)).select("_short")
+    short = stage(short, "short-accounts")
     past = feeds.accessibility.where(day < oldest)
-    past = past.join(short, past["account_number"].eqNullSafe(short["_seen"]), "left_semi")
+    past = past.join(short, past["account_number"].eqNullSafe(short["_short"]), "left_semi")
     if not past.isEmpty():
         older = replace(feeds, accessibility=past).panel().where(day < oldest)
         before = before.unionByName(last_rows(older, rows))
-    before = before.join(seen, before["account_number"].eqNullSafe(seen["_seen"]), "left_semi")
 
     reach = F.date_sub(first, max(HISTORY_DAYS))
     keys = ["account_number", "event_date"]
     far = feeds.panel().where((day >= reach) & (day < oldest)).select(*keys)
     return History(
-        rows=inside.unionByName(last_rows(before, rows)),
+        rows=near.where(day >= first).unionByName(last_rows(before, rows)),
         days=near.where(day >= reach).select(*keys).unionByName(far),
     )
 
 
+def _reached_cases(feeds: Feeds, start: str | dt.date, end: str | dt.date) -> DataFrame:
+    """Cases that any trailing count of the days can reach."""
+    reach = F.date_sub(F.lit(start).cast("date"), max(HISTORY_DAYS))
+    return feeds.cases.where(F.col("creation_time").between(reach, F.lit(end).cast("date")))
+
+
 def feature_frame(
     feeds: Feeds,
     start: str | dt.date | None = None,
@@ -196,10 +197,11 @@ def feature_frame(
     """
     if start is None or end is None:
         panel = stage(feeds.panel(), "panel")
-        days = panel
+        days, cases = panel, feeds.cases
     else:
         history = history_slice(feeds, start, end, -agg_window, near_days)
         panel, days = stage(history.rows, "panel-slice"), history.days
+        cases = _reached_cases(feeds, start, end)
     rolled = rolling_stats(
         panel,
         METRICS,
@@ -210,7 +212,7 @@ def feature_frame(
     )
     if start is not None and end is not None:
         rolled = between_days(rolled, start, end)
-    full = add_contact_history(rolled, feeds.cases, compat=compat, days=days)
+    full = add_contact_history(rolled, cases, compat=compat, days=days)
     keys = ["account_number", "event_date", *(["mac"] if with_mac else [])]
     return full.select(*keys, *FEATURES)
 
@@ -232,15 +234,20 @@ def point_in_time(feeds: Feeds, when: str | dt.date, near_days: int = NEAR_DAYS)
             (F.avg(x * x) - F.avg(x) * F.avg(x)).alias(f"{m}_var"),
             F.avg(x * x * x * x).alias(f"{m}_kurtosis"),
         ]
-    rolled = reached.groupBy("account_number").agg(
-        F.max_by("mac", F.struct("event_date", "mac")).alias("mac"), *moments
+    rolled = (
+        reached.groupBy("account_number")
+        .agg(
+            F.max_by("mac", F.struct("event_date", "mac")).alias("mac"),
+            F.max("event_date").alias("_last"),
+            *moments,
+        )
+        .where(F.col("_last") == day)
     )
-    reach = F.date_sub(day, max(HISTORY_DAYS))
     present = history.days.groupBy("account_number", "event_date").agg(
         F.count(F.lit(1)).alias("_rows")
     )
     opened = (
-        feeds.cases.where(F.col("creation_time").between(reach, day))
+        _reached_cases(feeds, when, when)
         .groupBy("account_number", F.col("creation_time").alias("event_date"))
         .agg(F.count(F.lit(1)).alias("_cases"))
     )
