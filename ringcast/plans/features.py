@@ -130,7 +130,8 @@ def last_rows(
 class History:
     """What the features of some days need of the panel."""
 
-    rows: DataFrame  # panel rows of the days, and each account's last ones before
+    inside: DataFrame  # panel rows of the days
+    before: DataFrame  # each account's last rows before them
     days: DataFrame  # (account_number, event_date) of every panel row counts reach
 
 
@@ -169,7 +170,8 @@ def history_slice(
     keys = ["account_number", "event_date"]
     far = feeds.panel().where((day >= reach) & (day < oldest)).select(*keys)
     return History(
-        rows=near.where(day >= first).unionByName(last_rows(before, rows)),
+        inside=near.where(day >= first),
+        before=last_rows(before, rows),
         days=near.where(day >= reach).select(*keys).unionByName(far),
     )
 
@@ -200,7 +202,8 @@ def feature_frame(
         days, cases = panel, feeds.cases
     else:
         history = history_slice(feeds, start, end, -agg_window, near_days)
-        panel, days = stage(history.rows, "panel-slice"), history.days
+        panel = stage(history.inside.unionByName(history.before), "panel-slice")
+        days = history.days
         cases = _reached_cases(feeds, start, end)
     rolled = rolling_stats(
         panel,
@@ -224,8 +227,8 @@ def point_in_time(feeds: Feeds, when: str | dt.date, near_days: int = NEAR_DAYS)
     """
     day = F.lit(when).cast("date")
     history = history_slice(feeds, when, when, near_days=near_days)
-    today = one_per_account(history.rows.where(F.col("event_date") == day), order=["mac"])
-    reached = history.rows.where(F.col("event_date") < day).unionByName(today)
+    today = one_per_account(history.inside, order=["mac"])
+    reached = history.before.unionByName(today)
     moments = []
     for m in METRICS:
         x = F.col(m).cast("double")
