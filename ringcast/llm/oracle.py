@@ -67,3 +67,78 @@ based as (
 select *, not base_failed and lost_chars <= {rules.MAX_LOST}::double * word_chars as kept
 from based
 """
+
+MIXING = rf"""
+with d as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::bigint as size
+  from documents
+),
+s as (
+  select source, sum(size)::bigint as source_size, 2 * sum(size)::bigint as most,
+    [3, 1, 2][(row_number() over (order by source nulls last) - 1) % 3 + 1] as weight
+  from d group by source
+),
+leveled as (
+  select *,
+    (1.5::double * sum(source_size) over ()
+      - coalesce(sum(most) over (o rows between unbounded preceding and 1 preceding), 0))
+    / sum(weight) over (o rows between current row and unbounded following) as level
+  from s window o as (order by most / weight, source nulls last)
+),
+target as (
+  select source, source_size,
+    round(least(most::double,
+      weight * (select max(level) from leveled where most >= weight * level)), 6) as target
+  from leveled
+),
+t as (
+  select *, case when source_size > 0 then floor(target / source_size) else 0 end as whole,
+    target - (case when source_size > 0 then floor(target / source_size) else 0 end)
+      * source_size as remaining
+  from target
+),
+lengths as (
+  select source, size, count(*) as n from d where size > 0 group by source, size
+),
+scales as (
+  select source, max_by(scale, size) as scale
+  from (
+    select l.source, size,
+      (remaining - coalesce(sum(size * n)
+          over (o rows between unbounded preceding and 1 preceding), 0))
+      / sum(size::hugeint * size * n)
+          over (o rows between current row and unbounded following)::double as scale
+    from lengths l join t on l.source is not distinct from t.source
+    window o as (partition by l.source order by size desc)
+  )
+  where scale * size <= 1 group by source
+),
+drawn as (
+  select d.*, t.* exclude (source), coalesce(scale, 0) * size as p,
+    (('0x' || substr(md5(concat_ws(':', doc_id, row_number()
+        over (partition by doc_id, d.source, size))), 1, 13))::bigint + 0.5)
+      / 4503599627370496.0::double as u
+  from d join t on d.source is not distinct from t.source
+    left join scales s on d.source is not distinct from s.source
+),
+ranked as (
+  select *, case when p >= 1 then 0.0
+    else (u / (1 - u)) / (p / (1 - p)) end as rank
+  from drawn where size > 0 and p > 0
+),
+summed as (
+  select *, sum(size) over (partition by source order by rank, doc_id, size
+    rows between unbounded preceding and current row) as to_here
+  from ranked
+),
+taken as (
+  select doc_id, source, size, source_size, target, whole,
+    to_here - size / 2 <= remaining as extra from summed
+  union all
+  select doc_id, source, size, source_size, target, whole, false
+  from drawn where not (size > 0 and p > 0)
+)
+select doc_id, source, size, source_size, target,
+  (whole + extra::int)::bigint as copies, ((whole + extra::int) * size)::bigint as taken
+from taken
+"""

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ringcast.llm import oracle
+from ringcast.llm.mixing import mix_sources
 from ringcast.llm.quality_rules import quality_rules
 from ringcast.llm.tables import table
 
@@ -18,10 +19,18 @@ def query(fn):
     return fn
 
 
+@query
+def op4_mix_sources(spark, sf_dir):
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_quality_rules(spark, sf_dir):
     return quality_rules(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
 def oracle_queries() -> dict[str, str]:
-    return {"op5_quality_rules": oracle.QUALITY_RULES}
+    return {
+        "op4_mix_sources": oracle.MIXING,
+        "op5_quality_rules": oracle.QUALITY_RULES,
+    }
