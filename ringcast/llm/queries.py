@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ringcast.llm import oracle
 from ringcast.llm.mixing import mix_sources
+from ringcast.llm.quality_classifier import fit_quality, score_quality
 from ringcast.llm.quality_rules import quality_rules
-from ringcast.llm.tables import table
+from ringcast.llm.tables import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -29,6 +31,18 @@ def op5_quality_rules(spark, sf_dir):
     return quality_rules(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def quality_model(spark, sf_dir, docs):
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return fit_quality(docs, labels.where(~held_out(F.col("doc_id"), 3, 1)))
+
+
+@query
+def op9_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scored = score_quality(docs, quality_model(spark, sf_dir, docs), ["doc_id"])
+    return scored.withColumn("held_out", held_out(F.col("doc_id"), 3, 1))
+
+
 def oracle_queries() -> dict[str, str]:
     return {
         "op4_mix_sources": oracle.MIXING,
