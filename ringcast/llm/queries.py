@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringcast.llm import oracle
 from ringcast.llm.mixing import mix_sources
+from ringcast.llm.pieces import token_digests
 from ringcast.llm.quality_classifier import fit_quality, score_quality
 from ringcast.llm.quality_rules import quality_rules
 from ringcast.llm.tables import held_out, table
@@ -36,6 +38,12 @@ def quality_model(spark, sf_dir, docs):
     return fit_quality(docs, labels.where(~held_out(F.col("doc_id"), 3, 1)))
 
 
+@query
+def op8_sentencepiece(spark, sf_dir):
+    model_file = public_tokenizers.path("piece_bpe_32k.model")
+    return token_digests(table(spark, sf_dir, "documents"), model_file, ["doc_id"])
+
+
 @query
 def op9_quality_classifier(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
