@@ -54,10 +54,14 @@ def source_targets(
     # fill the sources that run full first, then share what is left by weight
     by_need = Window.orderBy(F.col("most") / F.col("weight"), "place")
     before = by_need.rowsBetween(Window.unboundedPreceding, -1)
-    rest = by_need.rowsBetween(0, Window.unboundedFollowing)
     all_rows = Window.partitionBy()
-    level = (share * F.sum("source_size").over(all_rows)
-             - F.coalesce(F.sum("most").over(before), F.lit(0))) / F.sum("weight").over(rest)
+
+    def earlier(column):
+        return F.coalesce(F.sum(column).over(before), F.lit(0))
+
+    level = (share * F.sum("source_size").over(all_rows) - earlier("most")) / (
+        F.sum("weight").over(all_rows) - earlier("weight")
+    )
     return (
         sources.withColumns({"place": place, "weight": weight, "most": most})
         .withColumn("level", level)
@@ -93,11 +97,12 @@ def with_scale(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     )
     longer = Window.partitionBy("source").orderBy(F.desc("size"))
     longer = longer.rowsBetween(Window.unboundedPreceding, -1)
-    others = Window.partitionBy("source").orderBy(F.desc("size"))
-    others = others.rowsBetween(0, Window.unboundedFollowing)
     wide = F.col("size").cast("decimal(18,0)")
+    square = (wide * wide * F.col("n")).cast("decimal(38,0)")
     certain = F.coalesce(F.sum(F.col("size") * F.col("n")).over(longer), F.lit(0))
-    squares = F.sum((wide * wide * F.col("n")).cast("decimal(38,0)")).over(others)
+    squares = F.sum(square).over(Window.partitionBy("source")) - F.coalesce(
+        F.sum(square).over(longer), F.lit(0)
+    )
     scales = (
         lengths.join(targets, F.col("source").eqNullSafe(F.col("_source")))
         .withColumn("scale", (F.col("remaining") - certain) / squares.cast("double"))

@@ -30,7 +30,7 @@ from ringcast.llm.texts import over_texts
 
 SPACE = "▁"
 UNKNOWN_SURFACE = " ⁇ "
-CACHED_RUNS, CACHED_CHARS, CACHED_PAIRS = 400_000, 48, 1_000_000
+CACHED_RUNS, CACHED_CHARS, CACHED_PAIRS = 600_000, 48, 1_000_000
 # piece types of the public model format
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 
@@ -92,6 +92,10 @@ class PieceModel:
         rank = {s: r for r, s in enumerate(sorted(set(scores), reverse=True))}
         self.rank = [rank[s] for s in scores]
         self._split()
+        self.sizes = [len(p) for p in self.pieces]
+        self.alphabet = frozenset(p for p in self.ids if len(p) == 1)
+        known = "".join(map(re.escape, sorted(self.alphabet)))
+        self.find_known = re.compile(f"[{known}]+|[^{known}]").findall
         self._pairs: dict[int, bool] = {}
         self._runs = _Runs(self)
 
@@ -168,29 +172,36 @@ class PieceModel:
     def _known(self, run: str) -> list[int]:
         """Ids of a run of characters that are all in the vocabulary."""
         last = [-1] * (len(run) + 1)
-        compatible = self.compatible
+        pairs, vocabulary = self._pairs, len(self.pieces)
         for end, (token, size) in self.automaton.iter(run):
-            start = end + 1 - size
-            if start == 0 or compatible(last[start], token):
-                last[end + 1] = token
-        out, at = [], len(run)
+            end += 1
+            if last[end] >= 0:  # the one entry of this prefix is found
+                continue
+            if size == end:
+                last[end] = token
+                continue
+            before = last[end - size]
+            good = pairs.get(before * vocabulary + token)
+            if good if good is not None else self.compatible(before, token):
+                last[end] = token
+        out, at, sizes = [], len(run), self.sizes
         while at:
             token = last[at]
             out.append(token)
-            at -= len(self.pieces[token])
+            at -= sizes[token]
         out.reverse()
         return out
 
     def encode_run(self, run: str) -> list[int]:
+        if self.alphabet.issuperset(run):
+            return self._known(run)
         out: list[int] = []
-        known = self.ids
-        start = 0
-        for at, c in enumerate(run):
-            if c not in known:
-                out += self._known(run[start:at]) if at > start else []
-                out += [self.byte_ids[x] for x in c.encode()]
-                start = at + 1
-        return out + (self._known(run[start:]) if start < len(run) else [])
+        for part in self.find_known(run):
+            if part[0] in self.alphabet:
+                out += self._known(part)
+            else:
+                out += [self.byte_ids[x] for x in part.encode()]
+        return out
 
     def runs(self, text: str) -> list[str]:
         if not text:
@@ -201,7 +212,7 @@ class PieceModel:
         return [i for run in self.runs(text) for i in self.encode_run(run)]
 
     def surface(self, ids: Iterable[int]) -> str:
-        """Text of ids, white space escapes resolved; the first one may be the prefix's."""
+        """Text of ids with white space still escaped."""
         out: list[str] = []
         raw = bytearray()
         for i in ids:
@@ -215,7 +226,7 @@ class PieceModel:
             if kind == UNKNOWN:
                 out.append(UNKNOWN_SURFACE)
             elif kind != CONTROL:
-                out.append(self.pieces[i].replace(SPACE, " "))
+                out.append(self.pieces[i])
         if raw:
             out.append(_from_bytes(bytes(raw)))
         return "".join(out)
@@ -223,7 +234,7 @@ class PieceModel:
     def decode(self, ids: list[int]) -> str:
         ids = [i for i in ids if self.types[i] != CONTROL]
         prefixed = self.dummy_prefix and ids and self.pieces[ids[0]].startswith(SPACE)
-        return self.surface(ids)[1 if prefixed else 0 :]
+        return self.surface(ids)[1 if prefixed else 0 :].replace(SPACE, " ")
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of ids, and the hashes of the ids and of what they decode to."""
@@ -232,6 +243,7 @@ class PieceModel:
         decoded = "".join([f[2] for f in found])
         if found and self.dummy_prefix:
             decoded = decoded[1:]
+        decoded = decoded.replace(SPACE, " ")
         return (
             sum([f[0] for f in found]),
             hashlib.sha256(ids.encode()).hexdigest(),
@@ -240,7 +252,7 @@ class PieceModel:
 
 
 class _Runs(dict):
-    """Short runs to their number of ids, the ids joined by commas, and the decoded text.
+    """Short runs to their number of ids, the ids joined by commas, and their surface.
 
     A run holds whole characters, so bytes of a character never lie in two runs.
     """
@@ -251,7 +263,8 @@ class _Runs(dict):
 
     def __missing__(self, run: str) -> tuple[int, str, str]:
         ids = self.model.encode_run(run)
-        made = len(ids), ",".join(map(str, ids)), self.model.surface(ids)
+        surface = self.model.surface(ids)
+        made = len(ids), ",".join(map(str, ids)), run if surface == run else surface
         if len(run) <= CACHED_CHARS:
             if len(self) >= CACHED_RUNS:
                 self.clear()
