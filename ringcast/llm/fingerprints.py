@@ -29,6 +29,20 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def _least_of(runs: Column, w: int) -> Column:
+    """The least of every ``w`` neighbours, by doubling the reach; of all if fewer."""
+
+    def widened(step):
+        # get() beyond the end is null, which least() passes over
+        return lambda v: F.transform(v, lambda x, i: F.least(x, F.get(v, i + step)))
+
+    least, reach = runs, 1
+    while reach < w:
+        step = min(reach, w - reach)
+        least, reach = _let(least, widened(step)), reach + step
+    return _let(least, lambda v: F.slice(v, 1, F.greatest(F.size(v) - (w - 1), F.lit(1))))
+
+
 def winnow(text: Column, k: int = K, w: int = WINDOW) -> Column:
     """Chosen hashes of a text with their positions, in order, as numbers."""
 
@@ -36,17 +50,9 @@ def winnow(text: Column, k: int = K, w: int = WINDOW) -> Column:
         kept = F.xxhash64(F.substring(raw, i, F.lit(k))).bitwiseAND((1 << HASH_BITS) - 1)
         return F.shiftleft(kept, PLACE_BITS).bitwiseOR(F.lit(_TOP).cast("long") - i)
 
-    def upto(n):
-        return F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-
     def of_bytes(raw):
-        runs = F.transform(upto(F.octet_length(raw) - (k - 1)), lambda i: run_hash(raw, i))
-        least = _let(
-            runs,
-            lambda r: F.transform(
-                upto(F.size(r) - (w - 1)), lambda i: F.array_min(F.slice(r, i, F.lit(w)))
-            ),
-        )
+        starts = F.sequence(F.lit(1), F.greatest(F.octet_length(raw) - (k - 1), F.lit(1)))
+        least = _least_of(F.transform(starts, lambda i: run_hash(raw, i)), w)
         return (
             F.when(F.octet_length(raw) > _TOP, F.raise_error(F.lit("text of 2^27 bytes or more")))
             .when(F.octet_length(raw) > 0, F.array_distinct(least))
@@ -86,3 +92,105 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         F.transform("_chosen", lambda x: F.shiftright(x, PLACE_BITS)).alias("hashes"),
         positions(F.col("_chosen")).alias("positions"),
     )
+
+
+CELLS = 512  # of the quantiles of the key
+BUCKETS_PER_PARTITION = 4
+
+
+def with_next(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Key and text of every row with the text of the next row by key, ``next_text``.
+
+    Rows of equal keys follow by text, null keys come first, and after the last row comes
+    the first.  Rows are dealt to buckets, each a range of keys; the ranges come from the
+    key's quantiles, so buckets hold about the same number of rows.  The first row of a
+    bucket is dealt to the bucket before as well, where it ends the order.
+    """
+    spark = docs.sparkSession
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    number = F.coalesce(F.col("key").cast("long"), F.lit(-(1 << 63)))
+    shares = [i / CELLS for i in range(CELLS)]
+    bounds = rows.agg(F.percentile_approx(number, shares, 10_000)).first()[0]
+    if bounds is None:
+        fixed = {"k": F.lit(0), "bucket": F.lit(0), "guest": F.lit(0)}
+        return rows.withColumns(fixed | {"next_text": F.col("text")})
+    bounds = sorted(set(bounds))
+    edges = F.array(*[F.lit(b).cast("long") for b in bounds])
+    n_buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    low, high = F.get(edges, F.col("cell") - 1), F.get(edges, F.col("cell"))
+    part = (F.col("k").cast("double") - low) / F.greatest(high.cast("double") - low, F.lit(1.0))
+    # of the last range only the start is known; it is one of CELLS, and is spread by
+    # the width of the range before
+    last = (F.col("k").cast("double") - low) / F.lit(
+        max(1.0, float(bounds[-1]) - float(bounds[-2])) if len(bounds) > 1 else 1.0
+    )
+    part = F.least(F.coalesce(part, last), F.lit(1.0))
+    at = (F.col("cell") - 1 + part) / len(bounds)
+    bucket = F.least(F.floor(at * n_buckets), F.lit(n_buckets - 1)).cast("int")
+
+    def dealt(df, *columns):
+        cell = F.size(F.filter(edges, lambda b: b <= F.col("k")))
+        return (
+            df.withColumn("k", number)
+            .withColumn("cell", F.greatest(F.lit(1), cell))
+            .withColumn("bucket", bucket)
+            .select("k", "bucket", *columns)
+        )
+
+    heads = dealt(rows.select("key")).groupBy("bucket").agg(F.min("k").alias("head"))
+    order = Window.orderBy("bucket")  # over one row per bucket
+    heads = heads.select(
+        F.col("head"),
+        F.coalesce(F.lag("bucket").over(order), F.max("bucket").over(Window.partitionBy())).alias(
+            "also"
+        ),
+    )
+    heads = stage(heads, "fingerprint-heads")
+    places = F.when(
+        F.col("also").isNull(), F.array(F.struct(F.col("bucket"), F.lit(0).alias("guest")))
+    ).otherwise(
+        F.array(
+            F.struct(F.col("bucket"), F.lit(0).alias("guest")),
+            F.struct(F.col("also").alias("bucket"), F.lit(1).alias("guest")),
+        )
+    )
+    spread = (
+        dealt(rows, "key", "text")
+        .join(heads, F.col("k") == F.col("head"), "left")
+        .withColumn("place", F.explode(places))
+        .select("key", "text", "k", "place.bucket", "place.guest")
+    )
+    follows = Window.partitionBy("bucket").orderBy("guest", "k", "text")
+    return spread.withColumn("next_text", F.lead("text").over(follows))
+
+
+def compare_edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Fingerprints of every row and of its edited text, and how alike they are.
+
+    The edited text has its last half replaced by as much of the next row's start, or all
+    of it; see ``with_next`` for the order.  ``near_next`` is the likeness to the next
+    row.  Every column but the key is made anew, whatever ``docs`` has.
+    """
+    rows = with_next(docs, key, text)
+    own = F.coalesce(F.col("text"), F.lit(""))
+    following = F.coalesce(F.col("next_text"), F.lit(""))
+    n = F.char_length(own)
+    half = F.floor(n / 2).cast("int")
+    edited = F.concat(F.substring(own, F.lit(1), n - half), F.substring(following, F.lit(1), half))
+    follows = Window.partitionBy("bucket").orderBy("guest", "k", "text")
+    return (
+        rows.withColumn("own", chosen_hashes(winnow(F.col("text"))))
+        .withColumn("next", F.lead("own").over(follows))
+        .where("guest = 0")
+        .withColumn("edited", edited)
+        .withColumn("hashes", chosen_hashes(winnow(F.col("edited"))))
+        .select(
+            F.col("key").alias(key),
+            n.cast("long").alias("n_chars"),
+            F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+            digest(F.col("own")).alias("fingerprint"),
+            digest(F.col("hashes")).alias("edited_fingerprint"),
+            likeness(F.col("own"), F.col("hashes")).alias("near_edited"),
+            likeness(F.col("own"), F.col("next")).alias("near_next"),
+        )
+    )

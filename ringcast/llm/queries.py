@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringcast.llm import oracle
+from ringcast.llm.fingerprints import compare_edited
 from ringcast.llm.mixing import mix_sources
 from ringcast.llm.pieces import token_digests
 from ringcast.llm.quality_classifier import fit_quality, score_quality
@@ -51,6 +52,11 @@ def op9_quality_classifier(spark, sf_dir):
     return scored.withColumn("held_out", held_out(F.col("doc_id"), 3, 1))
 
 
+@query
+def op10_winnowing(spark, sf_dir):
+    return compare_edited(table(spark, sf_dir, "documents"))
+
+
 def oracle_queries() -> dict[str, str]:
     return {
         "op4_mix_sources": oracle.MIXING,
