@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ringcast.llm import oracle
 from ringcast.llm.fingerprints import compare_edited
+from ringcast.llm.language_id import identify_languages, train_languages
 from ringcast.llm.mixing import mix_sources
 from ringcast.llm.pieces import token_digests
 from ringcast.llm.quality_classifier import fit_quality, score_quality
@@ -24,6 +25,17 @@ def query(fn):
     return fn
 
 
+def language_network(docs):
+    return train_languages(docs.where(~held_out(F.col("doc_id"), 3, 1)))
+
+
+@query
+def op2_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = identify_languages(docs, language_network(docs), ["doc_id"])
+    return found.withColumn("held_out", held_out(F.col("doc_id"), 3, 1))
+
+
 @query
 def op4_mix_sources(spark, sf_dir):
     return mix_sources(table(spark, sf_dir, "documents"))
