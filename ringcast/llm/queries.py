@@ -16,6 +16,7 @@ from ringcast.llm.pieces import token_digests
 from ringcast.llm.quality_classifier import fit_quality, score_quality
 from ringcast.llm.quality_rules import quality_rules
 from ringcast.llm.tables import held_out, table
+from ringcast.llm.toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -51,6 +52,15 @@ def quality_model(spark, sf_dir, docs):
     return fit_quality(docs, labels.where(~held_out(F.col("doc_id"), 3, 1)))
 
 
+@query
+def op6_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = fit_toxicity(docs, labels.where(~held_out(F.col("doc_id"), 5, 0)))
+    scored = score_toxicity(docs, model, ["doc_id"])
+    return scored.withColumn("held_out", held_out(F.col("doc_id"), 5, 0))
+
+
 @query
 def op8_sentencepiece(spark, sf_dir):
     model_file = public_tokenizers.path("piece_bpe_32k.model")
