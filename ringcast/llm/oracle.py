@@ -142,3 +142,17 @@ select doc_id, source, size, source_size, target,
   (whole + extra::int)::bigint as copies, ((whole + extra::int) * size)::bigint as taken
 from taken
 """
+
+WARC = """
+with p as (
+  select page_id, coalesce(html, '') as payload, sha256(coalesce(html, '')) as digest,
+    octet_length(encode(coalesce(html, '')))::bigint as n
+  from pages
+),
+f as (select digest, min(page_id) as first from p where n >= 100 group by digest)
+select page_id, n as payload_bytes, p.digest as payload_digest,
+  case when first is not null and page_id is distinct from first
+    then 'revisit' else 'response' end as record_type,
+  case when page_id is distinct from first then first end as refers_to
+from p left join f on p.digest = f.digest
+"""

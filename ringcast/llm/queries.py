@@ -17,6 +17,7 @@ from ringcast.llm.quality_classifier import fit_quality, score_quality
 from ringcast.llm.quality_rules import quality_rules
 from ringcast.llm.tables import held_out, table
 from ringcast.llm.toxicity import fit_toxicity, score_toxicity
+from ringcast.llm.warc import archive_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -61,6 +62,14 @@ def op6_toxicity(spark, sf_dir):
     return scored.withColumn("held_out", held_out(F.col("doc_id"), 5, 0))
 
 
+@query
+def op7_warc(spark, sf_dir):
+    records = archive_round_trip(table(spark, sf_dir, "pages"))
+    return records.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 @query
 def op8_sentencepiece(spark, sf_dir):
     model_file = public_tokenizers.path("piece_bpe_32k.model")
@@ -83,4 +92,5 @@ def oracle_queries() -> dict[str, str]:
     return {
         "op4_mix_sources": oracle.MIXING,
         "op5_quality_rules": oracle.QUALITY_RULES,
+        "op7_warc": oracle.WARC,
     }
