@@ -12,6 +12,7 @@ from ringcast.llm import oracle
 from ringcast.llm.fingerprints import compare_edited
 from ringcast.llm.language_id import identify_languages, train_languages
 from ringcast.llm.mixing import mix_sources
+from ringcast.llm.near_dedup import near_classes
 from ringcast.llm.pieces import token_digests
 from ringcast.llm.quality_classifier import fit_quality, score_quality
 from ringcast.llm.quality_rules import quality_rules
@@ -27,6 +28,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_near_dedup(spark, sf_dir):
+    return near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def language_network(docs):
     return train_languages(docs.where(~held_out(F.col("doc_id"), 3, 1)))
 
