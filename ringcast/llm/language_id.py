@@ -276,9 +276,9 @@ def train_languages(
 
 
 def identify_languages(
-    docs: DataFrame, net: ByteNetwork, keep: list[str], text: str = "text"
+    docs: DataFrame, net: ByteNetwork, keep: list[str], text: str = "text", prefix: str = ""
 ) -> DataFrame:
-    """Columns ``keep`` of every row, with ``lang_pred`` and ``score``."""
+    """Columns ``keep`` of every row, with ``lang_pred`` and ``score`` after ``prefix``."""
     shared = docs.sparkSession.sparkContext.broadcast(net)  # a few thousand numbers
 
     def compute(part, texts):
@@ -295,7 +295,7 @@ def identify_languages(
     made = over_texts(
         docs.withColumn("_has_letter", letter),
         [*keep, "_has_letter"],
-        "lang_pred string, score double",
+        f"{prefix}lang_pred string, {prefix}score double",
         compute,
         text,
     )

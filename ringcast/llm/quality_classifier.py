@@ -233,8 +233,9 @@ def score_quality(
     keep: list[str],
     text: str = "text",
     n_chars: str | None = "n_chars",
+    prefix: str = "",
 ) -> DataFrame:
-    """Columns ``keep`` of every row, with ``score`` and ``predicted``."""
+    """Columns ``keep`` of every row, with ``score`` and ``predicted`` after ``prefix``."""
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(model)  # SIZE * (FACTORS + 1) numbers, whatever the data
 
@@ -244,5 +245,6 @@ def score_quality(
         return [score, (score >= 0.5).astype(np.int32)]
 
     extra = [n_chars] if n_chars is not None and n_chars not in keep else []
-    made = over_texts(docs, keep + extra, "score double, predicted int", compute, text)
+    new = f"{prefix}score double, {prefix}predicted int"
+    made = over_texts(docs, keep + extra, new, compute, text)
     return made.drop(*extra)

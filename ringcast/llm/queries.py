@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ringcast.llm import oracle
 from ringcast.llm.fingerprints import compare_edited
 from ringcast.llm.language_id import identify_languages, train_languages
+from ringcast.llm.licences import scan_licences, train_licences
 from ringcast.llm.mixing import mix_sources
 from ringcast.llm.near_dedup import near_classes
 from ringcast.llm.pieces import token_digests
@@ -44,6 +45,12 @@ def op2_language_id(spark, sf_dir):
     return found.withColumn("held_out", held_out(F.col("doc_id"), 3, 1))
 
 
+@query
+def op3_licences(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return scan_licences(docs, train_licences(docs))
+
+
 @query
 def op4_mix_sources(spark, sf_dir):
     return mix_sources(table(spark, sf_dir, "documents"))
