@@ -12,12 +12,15 @@ meet in a bucket.  Similarities are computed from the sets; 0.8 or more makes a
 a class is a connected component of links.  At 0.8 exactly two texts miss each other with
 probability (1 - 0.8^ROWS)^BANDS, 0.0002.
 
-Equal texts are one node.  In a bucket nodes are not compared all with all, but with a
-few pivots, those first that share most buckets with others.  Links then join nodes, and
+Equal texts are one node.  Before two sets are compared, their samples and weights must
+allow the similarity: of 64 samples, 52 are expected to agree at 0.8, and 38 have to; and
+the weights shared in each of ``PARTS`` parts of the hash range are at most the lesser of
+both texts' weights there, which bounds the similarity from above.
+In a bucket nodes are not compared all with all, but with a few pivots, those first that share most buckets with others.  Links then join nodes, and
 only nodes outside of a bucket's largest component become pivots of the next round, four
 times as many as before, until a bucket is one component or each of its outsiders has
 been a pivot.  So every two nodes of a bucket are in one component or were compared, save
-those whose total weights already rule out the similarity.  No group is gathered in one
+those that samples and weights rule out.  No group is gathered in one
 task: pivots are chosen by limited ranking, and large joins are left to be split.
 
 A text without a word is a class of its own.  The class id is the least key of a class,
@@ -38,6 +41,8 @@ from ringcast.session import stage
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 16, 4
+PARTS, PART_UNITS = 128, 32  # of the hash range; units of weight
+MOST_DIFFERENT = 26  # of the samples, by four bits of each
 SKETCH = 1 << 18
 CHANCES = 1 << 15  # rows of the table of random numbers
 TOGETHER = 4096  # shingles sampled at once
@@ -147,12 +152,20 @@ def band_keys(drawn: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def lanes(drawn: np.ndarray) -> np.ndarray:
+    """Four bits of each sample, sixteen samples to a number, of texts x samples."""
+    bits = (mix(drawn) & np.uint64(15)).reshape(len(drawn), -1, 16)
+    places = np.uint64(4) * np.arange(16, dtype=np.uint64)
+    return (bits << places).sum(2, dtype=np.uint64).view(np.int64)
+
+
 def _signed(logs):
     def compute(_, texts):
         of, hashes, times = weighted_sets(texts)
         weight = logs.value[_cell(hashes)] + np.log(times).astype(np.float32)
         bounds = np.searchsorted(of, np.arange(len(texts) + 1))
         out: list = [None] * len(texts)
+        packed: list = [None] * len(texts)
         filled = np.flatnonzero(np.diff(bounds))
         if len(filled):
             drawn = np.stack(
@@ -161,20 +174,27 @@ def _signed(logs):
                     for i in filled
                 ]
             )
-            for i, keys in zip(filled, band_keys(drawn), strict=True):
-                out[i] = keys
-        return [out]
+            for i, keys, four in zip(filled, band_keys(drawn), lanes(drawn), strict=True):
+                out[i], packed[i] = keys, four
+        return [out, packed]
 
     return compute
 
 
 def _vectors(logs):
+    """Weights by part of the hash range, rounded up; the total weight; the set."""
+
     def compute(_, texts):
         of, hashes, times = weighted_sets(texts)
         weight = weights_of(hashes, times, logs.value)
         bounds = np.searchsorted(of, np.arange(len(texts) + 1))
         ends = list(zip(bounds[:-1], bounds[1:], strict=True))
+        part = (hashes >> np.uint64(20)).astype(np.int64) % PARTS
+        parts = np.bincount(of * PARTS + part, weight.astype(np.float64), len(texts) * PARTS)
+        parts = np.ceil(parts * PART_UNITS).reshape(-1, PARTS)
+        fits = parts.max(1, initial=0) < 1 << 15
         return [
+            [p.astype(np.int32) if ok else None for p, ok in zip(parts, fits, strict=True)],
             [float(weight[a:b].sum(dtype=np.float64)) for a, b in ends],
             [hashes[a:b].tobytes() + weight[a:b].tobytes() for a, b in ends],
         ]
@@ -264,10 +284,23 @@ def components(edges: DataFrame) -> DataFrame:
     return roots
 
 
-def _joined_nodes(members: DataFrame, vectors: DataFrame) -> DataFrame:
+def _maybe_similar(x: str, y: str) -> Column:
+    """Whether two nodes' samples agree often enough: at 0.8 all but 1 pair in 70,000."""
+    differ = F.lit(0)
+    for i in range(BANDS * ROWS // 16):
+        odd = F.col(f"{x}.lanes")[i].bitwiseXOR(F.col(f"{y}.lanes")[i])
+        odd = odd.bitwiseOR(F.shiftrightunsigned(odd, 1))
+        odd = odd.bitwiseOR(F.shiftrightunsigned(odd, 2))
+        differ = differ + F.bit_count(odd.bitwiseAND(0x1111111111111111))
+    return differ <= MOST_DIFFERENT
+
+
+def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> DataFrame:
     """Component of each node that meets others in a bucket: node, root.
 
-    ``members`` has bucket, node, score and total (weight); one row per meeting.
+    ``members`` has bucket, node and score, one row per meeting; ``facts`` the total
+    weight, samples and bands of each node. A pair that meets in several buckets is
+    looked at in that of its first common band only.
     """
     members = members.withColumns({"root": F.col("node"), "used": F.lit(False)})
     labels = members.select("node", "root").distinct()
@@ -292,20 +325,36 @@ def _joined_nodes(members: DataFrame, vectors: DataFrame) -> DataFrame:
         rank = F.row_number().over(
             Window.partitionBy("bucket").orderBy(F.desc("score"), "node")
         )
-        pivots = (
-            outside.withColumn("place", rank)
-            .where(F.col("place") <= pivots_each)
-            .select("bucket", F.col("node").alias("p"), F.col("root").alias("p_root"),
-                    F.col("total").alias("p_total"))
-        )
+        pivots = outside.withColumn("place", rank).where(F.col("place") <= pivots_each)
+        pivots = pivots.select("bucket", "node", "root").join(facts, "node")
         pivots = stage(pivots, "dedup-pivots")
         if pivots.isEmpty():
             return labels
-        close = F.least("total", "p_total") >= (SIMILARITY - 1e-6) * F.greatest("total", "p_total")
+        least = F.least("x.total", "y.total")
+        close = least >= (SIMILARITY - 1e-6) * F.greatest("x.total", "y.total")
+        same_bands = F.zip_with("x.bands", "y.bands", lambda a, b: a == b)
+        this_band = F.zip_with("x.bands", "y.bands", lambda a, b: F.when(a == b, a))
+        shared = F.aggregate(
+            F.zip_with("x.parts", "y.parts", lambda a, b: F.least(a, b)), F.lit(0), lambda s, v: s + v
+        ) / F.lit(PART_UNITS)
+        possible = shared >= (SIMILARITY - 1e-6) * (
+            F.col("x.total") + F.col("y.total") - shared
+        )
+        first = F.get(this_band, (F.array_position(same_bands, True) - 1).cast("int"))
         pairs = (
-            open_.join(pivots, "bucket")
-            .where((F.col("root") != F.col("p_root")) & close)
-            .select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b"))
+            open_.select("bucket", "node", "root").join(facts, "node").alias("x")
+            .join(
+                pivots.alias("y"),
+                (F.col("x.bucket") == F.col("y.bucket"))
+                & (F.col("x.root") != F.col("y.root"))
+                & close
+                & _maybe_similar("x", "y")
+                & (first == F.shiftright(F.col("x.bucket"), 32).cast("int"))
+                & F.coalesce(possible, F.lit(True)),
+            )
+            .select(
+                F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
+            )
             .distinct()
         )
         if tested is not None:
@@ -324,12 +373,12 @@ def _joined_nodes(members: DataFrame, vectors: DataFrame) -> DataFrame:
             .select("node", F.coalesce("to", "root").alias("root")),
             "dedup-labels",
         )
-        chosen = pivots.select("bucket", F.col("p").alias("node"), F.lit(True).alias("pivot"))
+        chosen = pivots.select("bucket", "node", F.lit(True).alias("pivot"))
         members = (
             open_.drop("root")
             .join(labels, "node")
             .join(chosen, ["bucket", "node"], "left")
-            .select("bucket", "node", "score", "total", "root",
+            .select("bucket", "node", "score", "root",
                     (F.col("used") | F.col("pivot").isNotNull()).alias("used"))
         )
         members = stage(members, "dedup-members")
@@ -349,8 +398,8 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     logs = spark.sparkContext.broadcast(log_weights(counts, n))  # SKETCH numbers
 
     signed = over_texts(
-        read.withColumn("node", _node("text")), ["key", "node"], "bands array<bigint>",
-        _signed(logs),
+        read.withColumn("node", _node("text")), ["key", "node"],
+        "bands array<bigint>, lanes array<bigint>", _signed(logs),
     )
     signed = stage(signed, "dedup-signed")
     rows = signed.select(
@@ -359,7 +408,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     nodes = stage(
         signed.where("bands is not null")
         .groupBy("node")
-        .agg(F.min("key").alias("least"), F.first("bands").alias("bands")),
+        .agg(F.min("key").alias("least"), F.first("bands").alias("bands"), F.first("lanes").alias("lanes")),
         "dedup-nodes",
     )
 
@@ -381,12 +430,19 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         .dropDuplicates(["node"])
     )
     vectors = stage(
-        over_texts(texts, ["node"], "total double, vector binary", _vectors(logs)),
+        over_texts(
+            texts, ["node"], "parts array<int>, total double, vector binary", _vectors(logs)
+        ),
         "dedup-vectors",
     )
-    facts = scores.join(vectors.select("node", "total"), "node")
-    members = members.select("bucket", "node").join(facts, "node")
-    labels = _joined_nodes(stage(members, "dedup-members"), vectors)
+    members = stage(members.select("bucket", "node").join(scores, "node"), "dedup-members")
+    # what pairs are told apart by before their sets are read
+    short = F.transform("bands", lambda b: F.shiftright(b, 32).cast("int"))
+    parts = F.col("parts").cast("array<smallint>").alias("parts")
+    facts = vectors.select("node", "total", parts).join(
+        nodes.select("node", "lanes", short.alias("bands")), "node"
+    )
+    labels = _joined_nodes(members, stage(facts, "dedup-facts"), vectors)
 
     least = nodes.select("node", "least")
     joined = least.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
