@@ -25,19 +25,6 @@ def day_number(day: str | Column) -> Column:
     return F.unix_date(F.col(day) if isinstance(day, str) else day)
 
 
-def speech_id(unit: str, channel: str) -> Column:
-    """Speech id as built from a booked session: unit, a zero, channel."""
-    return F.concat(F.col(unit).cast("string"), F.lit("0"), F.col(channel).cast("string"))
-
-
-def unit_part(speech: str) -> Column:
-    return F.left(F.col(speech).cast("string"), F.lit(6))
-
-
-def session_part(speech: str) -> Column:
-    return F.right(F.col(speech).cast("string"), F.lit(9))
-
-
 def row_hash(keys: Sequence[str], seed: object | None = None) -> Column:
     """md5 of the key columns as text; the same row always hashes alike.
 

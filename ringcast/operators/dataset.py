@@ -14,6 +14,7 @@ from ringcast.functions.scalar import hash_fraction, row_hash
 
 ROW_KEY = ("account_number", "event_date", "mac", "category_name")
 Day = str | dt.date
+HASH_DIGITS = 32  # of an md5 in hex
 
 
 def between_days(df: DataFrame, start: Day, end: Day, day: str = "event_date") -> DataFrame:
@@ -31,31 +32,38 @@ def time_split(
 
 
 def take_hashed(
-    df: DataFrame, n: int, keys: Sequence[str] = ROW_KEY, digits: int = 4
+    df: DataFrame, n: int, keys: Sequence[str] = ROW_KEY, digits: int = 4, ranked: int = 1000
 ) -> DataFrame:
     """The ``n`` rows of lowest ``row_hash``, without sorting or moving the rest.
 
     ``orderBy(hash).limit(n)`` would gather n rows in one task. Here the hashes
     are counted by their first hex digits (at most 16**digits groups), whole
-    groups below the cut are kept in place, and only the group at the cut is
-    ranked, with equal rows first folded into one row and a count.
-    Evaluates ``df`` twice: pass a staged frame.
+    groups below the cut are kept in place, and the group at the cut is counted
+    again by more digits until it holds at most ``ranked`` rows, or rows of one
+    hash only. Those are ranked, equal rows first folded into one and a count.
+    Evaluates ``df`` several times: pass a staged frame.
     """
-    hashed = df.withColumn("_hash", row_hash(keys)).withColumn(
-        "_group", F.left("_hash", F.lit(digits))
-    )
-    upto = F.sum("_n").over(Window.orderBy("_group"))
-    groups = hashed.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
-    cut = groups.withColumn("_upto", upto).where(F.col("_upto") >= n).orderBy("_group").first()
-    if cut is None:
-        return df
-    needed = n - (cut["_upto"] - cut["_n"])
-    below = hashed.where(F.col("_group") < cut["_group"]).select(*df.columns)
-
-    rank = Window.orderBy("_hash", *df.columns)
+    hashed = df.withColumn("_hash", row_hash(keys))
+    inside, upto, length, needed = F.lit(True), F.sum("_n").over(Window.orderBy("_group")), 0, n
+    while True:
+        length = min(length + digits, HASH_DIGITS)
+        group = F.left("_hash", F.lit(length))
+        groups = hashed.where(inside).groupBy(group.alias("_group"))
+        groups = groups.agg(F.count(F.lit(1)).alias("_n")).withColumn("_upto", upto)
+        cut = groups.where(F.col("_upto") >= needed).orderBy("_group").first()
+        if cut is None:
+            return df
+        needed -= cut["_upto"] - cut["_n"]
+        inside = group == cut["_group"]
+        if cut["_n"] <= ranked or length == HASH_DIGITS:
+            break
+    below = hashed.where(group < cut["_group"]).select(*df.columns)
+
+    rank = Window.partitionBy("_group").orderBy("_hash", *df.columns)
     at_cut = (
-        hashed.where(F.col("_group") == cut["_group"])
-        .groupBy("_hash", *df.columns)
+        hashed.withColumn("_group", group)
+        .where(F.col("_group") == cut["_group"])
+        .groupBy("_group", "_hash", *df.columns)
         .agg(F.count(F.lit(1)).alias("_copies"))
         .withColumn("_before", F.sum("_copies").over(rank) - F.col("_copies"))
         .where(F.col("_before") < needed)

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,8 +36,11 @@ def running_totals(
     if slices is None:
         slices = max(SLICES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cuts = df.approxQuantile(by, [i / slices for i in range(1, slices)], 1 / (4 * slices))
-    bounds = [-float("inf"), *sorted(set(cuts)), float("inf")]
-    sliced = Bucketizer(splits=bounds, inputCol=by, outputCol="_slice").transform(df)
+    place = F.lit(0)
+    if cuts:
+        edges = F.array(*map(F.lit, sorted(set(cuts))))
+        place = F.size(F.filter(edges, lambda edge: edge <= F.col(by)))
+    sliced = df.withColumn("_slice", place)
 
     above = Window.orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
     # one row per slice
@@ -54,15 +56,22 @@ def running_totals(
 
 
 def score_counts(df: DataFrame, label: str = "target", score: str = "score") -> DataFrame:
-    """Positives and negatives at each distinct score, with running totals from the top."""
-    counted = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
+    """Positives and negatives at each distinct score, with running totals from the top.
+
+    A NULL or NaN score has no place in the order and raises an error; without rows
+    there are no steps.
+    """
+    value = F.col(score).cast("double")
+    unfit = value.isNull() | F.isnan(value)
+    checked = F.when(unfit, F.raise_error(F.lit("a score is NULL or NaN"))).otherwise(value)
+    counted = df.groupBy(checked.alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
     )
     return running_totals(counted, "threshold", ["pos", "neg"])
 
 
 def roc_auc(df: DataFrame, label: str = "target", score: str = "score") -> DataFrame:
-    """One row: area under the ROC curve, ties counted half."""
+    """One row: area under the ROC curve, ties counted half; NULL without both classes."""
     steps = score_counts(df, label, score)
     won = F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2)
     pairs = F.sum("pos").cast("double") * F.sum("neg")

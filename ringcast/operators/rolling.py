@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ringcast.session import stage
 
 STATS = ("avg", "var", "kurtosis", "sum", "max")
-HOT_ROWS = 5_000_000
+RANGE = "_part"
 
 
 def rolling_stats(
@@ -25,62 +25,45 @@ def rolling_stats(
     rows: int = 14,
     key: str = "account_number",
     order: Sequence[str] = ("event_date", "mac"),
-    hot_rows: int | None = HOT_ROWS,
     keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Append ``<metric>_<stat>`` over the current row and ``rows`` before it.
 
-    An account's rows form one window partition, hence one task. Accounts with
-    more than ``hot_rows`` rows are instead cut into ranges of their own order
-    and worked on in many tasks, with the same result. The check is a count by
-    account, so pass a staged or cheap frame; ``hot_rows=None`` skips it.
-    ``keep`` names the input columns to carry along (default: all).
+    The rows are cut into ranges of (key, order), each led by the rows before it, so an
+    account of any size is worked on in as many tasks as it has ranges. ``df`` may come
+    from ``cut_ranges``; otherwise it is cut (and so staged) here. ``keep`` names the
+    input columns to carry along (default: all).
     """
     unknown = [s for s in stats if s not in STATS]
     if unknown:
         raise ValueError(f"unknown statistics {unknown}; choose from {STATS}")
-    carried = list(keep if keep is not None else df.columns)
-    frame = Window.orderBy(*order).rowsBetween(-rows, 0)
+    ranged = df if RANGE in df.columns else cut_ranges(df, key, order)
+    carried = [c for c in (keep if keep is not None else ranged.columns) if c != RANGE]
+    frame = Window.partitionBy(key, RANGE).orderBy(*order).rowsBetween(-rows, 0)
+    led = with_halo(ranged, rows, key, order)
     names = [*carried, *[f"{m}_{s}" for m in metrics for s in stats]]
-    whole = frame.partitionBy(key)
-    if hot_rows is None:
-        return _windowed(df, metrics, stats, whole, carried).select(*names)
-
-    sizes = df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.where(F.col("_n") > hot_rows).select("_hot")
-    if hot.isEmpty():
-        return _windowed(df, metrics, stats, whole, carried).select(*names)
-    # at most (all rows / hot_rows) keys; written, so Spark knows their size and
-    # broadcasts them only where they are few
-    hot = stage(hot, "hot-keys")
-    is_hot = df[key].eqNullSafe(hot["_hot"])
-    cold = df.join(hot, is_hot, "left_anti")
-    ranged = with_halo(df.join(hot, is_hot, "left_semi"), rows, key, order)
-    split = _windowed(
-        ranged, metrics, stats, frame.partitionBy(key, "_part"), [*carried, "_own"]
-    ).where("_own")
-    return (
-        _windowed(cold, metrics, stats, whole, carried)
-        .select(*names)
-        .unionByName(split.select(*names))
-    )
+    return _windowed(led, metrics, stats, frame, [*carried, "_own"]).where("_own").select(*names)
 
 
-def with_halo(
-    df: DataFrame, rows: int, key: str, order: Sequence[str], parts: int | None = None
+def cut_ranges(
+    df: DataFrame,
+    key: str = "account_number",
+    order: Sequence[str] = ("event_date", "mac"),
+    parts: int | None = None,
 ) -> DataFrame:
-    """Cut each key's ordered rows into ranges, each led by the rows before it.
+    """Stage ``df`` cut into ranges of (key, order), with the range in ``_part``."""
+    parts = parts or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cut = df.repartitionByRange(parts, key, *order).withColumn(RANGE, F.spark_partition_id())
+    return stage(cut, "ranges")
 
-    Adds ``_part`` (the range) and ``_own`` (false for the copied leading rows).
-    A row frame of up to ``rows`` preceding rows over (key, _part) then sees
-    exactly what it would see over the whole key.
+
+def with_halo(ranged: DataFrame, rows: int, key: str, order: Sequence[str]) -> DataFrame:
+    """Lead each range of each key by the ``rows`` rows before it.
+
+    Adds ``_own`` (false for the copied leading rows). A row frame of up to ``rows``
+    preceding rows over (key, _part) then sees exactly what it would see over the whole
+    key.
     """
-    spark = df.sparkSession
-    parts = parts or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = stage(
-        df.repartitionByRange(parts, key, *order).withColumn("_part", F.spark_partition_id()),
-        "ranges",
-    )
     # one row per (key, range): at most one range more than parts for each key
     in_key = Window.partitionBy(key).orderBy("_part")
     sizes = ranged.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_n"))

@@ -6,14 +6,14 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ringcast.operators.counts import HISTORY_DAYS, add_contact_history
 from ringcast.operators.dataset import between_days, one_per_account
 from ringcast.operators.labels import TECHNICAL_CATEGORIES, call_labels
 from ringcast.operators.panel import add_wifi, modem_panel
-from ringcast.operators.rolling import HOT_ROWS, rolling_stats
+from ringcast.operators.rolling import RANGE, cut_ranges, rolling_stats
 from ringcast.session import stage
 from ringcast.sources import specs
 from ringcast.sources.read import Tables, read
@@ -45,7 +45,7 @@ METRICS = (
 )
 STATS = ("avg", "var", "kurtosis")
 ROWS_BEFORE = 14
-NEAR_DAYS = 45
+KEYS = ("account_number", "event_date", "mac")
 COUNTS = tuple(f"call_count_{n}" for n in (0, 30, 60, 10, 120))
 FEATURES = (*COUNTS, *(f"{m}_{s}" for m in METRICS for s in STATS))
 
@@ -135,44 +135,54 @@ class History:
     days: DataFrame  # (account_number, event_date) of every panel row counts reach
 
 
+def _panel_keys(feeds: Feeds, seen: DataFrame, start: Column, end: Column) -> DataFrame:
+    """Keys of the panel rows of some days and accounts; no metric column is read."""
+    inside = F.col("event_date").between(start, end)
+    own = feeds.accessibility.where(inside).select(*KEYS)
+    own = own.join(seen, own["account_number"].eqNullSafe(seen["_seen"]), "left_semi")
+    others = (feeds.service_quality, feeds.attainability, feeds.intermittency, feeds.usage)
+    return modem_panel(own, *[o.where(inside).select("mac", "event_date") for o in others])
+
+
 def history_slice(
-    feeds: Feeds,
-    start: str | dt.date,
-    end: str | dt.date,
-    rows: int = ROWS_BEFORE,
-    near_days: int = NEAR_DAYS,
+    feeds: Feeds, start: str | dt.date, end: str | dt.date, rows: int = ROWS_BEFORE
 ) -> History:
     """Panel rows of [start, end], and each account's last ``rows`` rows before.
 
-    That is all a row frame over these days can reach. Rows are looked for in
-    the last ``near_days`` first; older days are joined only for accounts that
-    have too few there and do have older modem rows. Day counts reach back
-    further, but need only the keys of the older days.
+    That is all a row frame over these days can reach. Keys come first: only key columns
+    of the whole history are read, for accounts seen on the days, and ranked. Metrics are
+    then fetched for the keys that remain, from their dates on. Day counts need the keys
+    of the days they reach.
     """
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
-    oldest = F.date_sub(first, near_days)
-    day, account = F.col("event_date"), F.col("account_number")
-
-    near = stage(feeds.panel().where(day.between(oldest, last)), "panel-near")
-    before = near.where(day < first)
-    found = near.groupBy(account.alias("_short")).agg(
-        F.count_if(day >= first).alias("_inside"), F.count_if(day < first).alias("_before")
-    )
-    short = found.where((F.col("_inside") > 0) & (F.col("_before") < rows)).select("_short")
-    short = stage(short, "short-accounts")
-    past = feeds.accessibility.where(day < oldest)
-    past = past.join(short, past["account_number"].eqNullSafe(short["_short"]), "left_semi")
-    if not past.isEmpty():
-        older = replace(feeds, accessibility=past).panel().where(day < oldest)
-        before = before.unionByName(last_rows(older, rows))
+    day = F.col("event_date")
+    seen = feeds.accessibility.where(day.between(first, last)).select(
+        F.col("account_number").alias("_seen")
+    ).distinct()
+    beginning = F.lit("0001-01-01").cast("date")
+    keys = _panel_keys(feeds, seen, beginning, last)
+    wanted = last_rows(keys.where(day < first), rows).unionByName(keys.where(day >= first))
+    wanted = stage(wanted.distinct(), "history-keys")
 
+    oldest = wanted.agg(F.min(day)).first()[0]
+    bounded = day.between(F.coalesce(F.lit(oldest).cast("date"), first), last)
+    own = feeds.accessibility.where(bounded)
+    chosen = wanted.select(*[F.col(k).alias(f"_{k}") for k in KEYS])
+    same = [own[k].eqNullSafe(chosen[f"_{k}"]) for k in ("account_number",)]
+    same += [own[k] == chosen[f"_{k}"] for k in ("event_date", "mac")]
+    fetched = replace(
+        feeds,
+        accessibility=own.join(chosen, same, "left_semi"),
+        **{
+            name: getattr(feeds, name).where(bounded)
+            for name in ("service_quality", "attainability", "intermittency", "usage", "whix")
+        },
+    ).panel()
     reach = F.date_sub(first, max(HISTORY_DAYS))
-    keys = ["account_number", "event_date"]
-    far = feeds.panel().where((day >= reach) & (day < oldest)).select(*keys)
     return History(
-        inside=near.where(day >= first),
-        before=last_rows(before, rows),
-        days=near.where(day >= reach).select(*keys).unionByName(far),
+        inside=fetched.where(day >= first),
+        before=last_rows(fetched.where(day < first), rows),
+        days=_panel_keys(feeds, seen, reach, last).select("account_number", "event_date"),
     )
 
 
@@ -189,44 +199,39 @@ def feature_frame(
     agg_window: int = -ROWS_BEFORE,
     compat: bool = False,
     with_mac: bool = False,
-    hot_rows: int | None = HOT_ROWS,
-    near_days: int = NEAR_DAYS,
 ) -> DataFrame:
     """Keys, contact counts and rolling statistics: 73 columns, and ``mac`` on request.
 
     With ``start`` and ``end`` only the rows of those days are produced, with
-    the same values, from a slice of the history instead of all of it.
+    the same values, from a slice of the history instead of all of it. One bound
+    alone is refused.
     """
-    if start is None or end is None:
-        panel = stage(feeds.panel(), "panel")
-        days, cases = panel, feeds.cases
+    if (start is None) != (end is None):
+        raise ValueError("give both start and end, or neither")
+    whole = start is None
+    if whole:
+        panel, cases = cut_ranges(feeds.panel()), feeds.cases
+        days = panel.drop(RANGE)
     else:
-        history = history_slice(feeds, start, end, -agg_window, near_days)
-        panel = stage(history.inside.unionByName(history.before), "panel-slice")
+        history = history_slice(feeds, start, end, -agg_window)
+        panel = cut_ranges(history.inside.unionByName(history.before))
         days = history.days
         cases = _reached_cases(feeds, start, end)
-    rolled = rolling_stats(
-        panel,
-        METRICS,
-        STATS,
-        rows=-agg_window,
-        hot_rows=hot_rows,
-        keep=["account_number", "event_date", "mac"],
-    )
-    if start is not None and end is not None:
+    rolled = rolling_stats(panel, METRICS, STATS, rows=-agg_window, keep=KEYS)
+    if not whole:
         rolled = between_days(rolled, start, end)
     full = add_contact_history(rolled, cases, compat=compat, days=days)
     keys = ["account_number", "event_date", *(["mac"] if with_mac else [])]
     return full.select(*keys, *FEATURES)
 
 
-def point_in_time(feeds: Feeds, when: str | dt.date, near_days: int = NEAR_DAYS) -> DataFrame:
+def point_in_time(feeds: Feeds, when: str | dt.date) -> DataFrame:
     """One feature row per account seen on one day, by aggregation alone.
 
     Equals the ``feature_frame`` row of the account's first modem on that day.
     """
     day = F.lit(when).cast("date")
-    history = history_slice(feeds, when, when, near_days=near_days)
+    history = history_slice(feeds, when, when)
     today = one_per_account(history.inside, order=["mac"])
     reached = history.before.unionByName(today)
     moments = []

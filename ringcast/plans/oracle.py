@@ -124,9 +124,9 @@ chat_accounts as (
   select distinct sha256(cast(user_id as varchar)) as hash_account, user_id as account_number
   from events),
 chat_transcripts as (
-  select conv_id as bold_id, max(text) as message_text,
-    max(text) filter (role = 'assistant') as message_technician,
-    max(text) filter (role = 'user') as message_customer
+  select conv_id as bold_id, string_agg(text, chr(10) order by turn, role) as message_text,
+    string_agg(text, chr(10) order by turn) filter (role = 'assistant') as message_technician,
+    string_agg(text, chr(10) order by turn) filter (role = 'user') as message_customer
   from conversations group by conv_id),
 chats as (
   select * from chat_sessions join chat_accounts using (hash_account)
@@ -277,7 +277,6 @@ train_rows as (select * from dataset where event_date between date '{TRAIN[0]}'
 test_rows as (select * from dataset where event_date between date '{TEST[0]}' and date '{TEST[1]}')"""
 DATASET_OUT = f'account_number, event_date, {FRAME_OUT}, category_name, called, "window", target'
 
-SPEECH_COUNT = """(select event_date from call_labels)"""
 CHECKED = {
     "svq": "service_quality",
     "accessibility": "accessibility",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ringcast.functions import scalar
 from ringcast.operators import counts, dataset, explain, labels, metrics, models, panel, quality
 from ringcast.operators.chats import chat_history, chat_sessions
-from ringcast.operators.rolling import HOT_ROWS, rolling_stats
+from ringcast.operators.rolling import cut_ranges, rolling_stats
 from ringcast.plans import inference, training
 from ringcast.plans.features import FEATURES, METRICS, Feeds, feature_frame, point_in_time
 from ringcast.plans.testdata import KEPT, RawTables
@@ -215,10 +215,10 @@ def wifi_left_fill(spark, sf):
 # --- rolling statistics ------------------------------------------------------
 
 
-def _rolling(spark, sf, stat, metrics_=SHORT, rows=14, hot_rows=HOT_ROWS):
-    staged = stage(_panel(spark, sf), "panel")
+def _rolling(spark, sf, stat, metrics_=SHORT, rows=14, parts=None):
+    ranged = cut_ranges(_panel(spark, sf), parts=parts)
     keys = ["account_number", "event_date", "mac"]
-    out = rolling_stats(staged, metrics_, [stat], rows, hot_rows=hot_rows, keep=keys)
+    out = rolling_stats(ranged, metrics_, [stat], rows, keep=keys)
     return rounded(out, [f"{m}_{stat}" for m in metrics_])
 
 
@@ -254,8 +254,8 @@ def rolling_legacy_frame(spark, sf):
 
 @query
 def rolling_split_accounts(spark, sf):
-    """Every account of more than 20 rows goes the way of a hot account."""
-    return _rolling(spark, sf, "var", hot_rows=20)
+    """So many ranges that accounts lie in several."""
+    return _rolling(spark, sf, "var", parts=97)
 
 
 # --- contact counts ----------------------------------------------------------
@@ -700,7 +700,7 @@ def metrics_log(spark, sf):
 @query
 def single_file_write(spark, sf):
     path = _fresh(spark, "single")
-    sinks.write_parquet(_read(spark, sf, specs.SUPPORT_CASES), path, single_file=True)
+    sinks.write_parquet(_read(spark, sf, specs.SUPPORT_CASES), path, rows_per_file=1_000_000)
     return sources.read_dataset(spark, path)
 
 

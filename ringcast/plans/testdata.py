@@ -233,11 +233,16 @@ class RawTables(Mapping):
         )
 
     def _chat_transcripts(self) -> DataFrame:
-        def said(role: str) -> Column:
-            return F.max(F.when(F.col("role") == role, F.col("text")))
+        def said(role: str | None) -> Column:
+            """All texts of a role, or of both, in the order of the turns."""
+            turn = F.struct("turn", "role", "text")
+            if role is not None:
+                turn = F.when(F.col("role") == role, turn)
+            turns = F.transform(F.array_sort(F.collect_list(turn)), lambda t: t["text"])
+            return F.when(F.size(turns) > 0, F.array_join(turns, "\n"))
 
         return self.load("conversations").groupBy(F.col("conv_id").alias("session_id")).agg(
-            F.max("text").alias("message_text"),
+            said(None).alias("message_text"),
             said("assistant").alias("message_technician"),
             said("user").alias("message_customer"),
         )

@@ -24,7 +24,6 @@ from ringcast.plans.features import FEATURES, Feeds, feature_frame
 from ringcast.session import stage
 from ringcast.sources.sinks import log_metrics, save_model, write_latest_archive, write_parquet
 
-TEST_ROWS = 500_000
 Days = tuple[str | dt.date, str | dt.date]
 DATASET_COLUMNS = (
     "account_number",
@@ -38,14 +37,17 @@ DATASET_COLUMNS = (
 
 
 def labelled_frame(feeds: Feeds, train: Days, test: Days, window: int = 10) -> DataFrame:
-    """Features with past and forward labels for the days from train start to test end.
+    """Features with past and forward labels for all days from the first to the last.
+
+    The ranges may come in either order. ``label_complete`` tells the rows whose forward
+    window ends within the days.
 
     Labels after the test end are unknown, so later panel rows cannot matter
     to a target and are not read.
     """
     start, end = min(train[0], test[0]), max(train[1], test[1])
     features = feature_frame(feeds, start, end, with_mac=True)
-    known = between_days(feeds.labels, train[0], test[1])
+    known = between_days(feeds.labels, start, end)
     labelled = stage(attach_label(features, known), "labelled")
     return forward_label(labelled, "called", window, horizon_end=str(end))
 
@@ -55,18 +57,27 @@ def build_dataset(
     train: Days,
     test: Days,
     window: int = 10,
-    test_rows: int = TEST_ROWS,
+    test_rows: int | None = None,
     out: str | None = None,
+    with_complete: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Balanced training rows and capped test rows, split by time."""
+    """Balanced training rows and test rows, split by time.
+
+    All test rows are kept unless ``test_rows`` gives a limit. ``with_complete`` adds
+    ``label_complete``: with a test range shorter than the window, targets of test rows
+    near its end only know of the days up to it.
+    """
+    columns = [*DATASET_COLUMNS, *(["label_complete"] if with_complete else [])]
     frame = stage(labelled_frame(feeds, train, test, window), "dataset")
     train_df, test_df = time_split(frame, train, test)
-    balanced = undersample(train_df).select(*DATASET_COLUMNS)
-    capped = take_hashed(test_df, test_rows).select(*DATASET_COLUMNS)
+    balanced = undersample(train_df).select(*columns)
+    if test_rows is not None:
+        test_df = take_hashed(test_df, test_rows)
+    tested = test_df.select(*columns)
     if out is not None:
         write_parquet(balanced, f"{out}/train")
-        write_parquet(capped, f"{out}/test")
-    return balanced, capped
+        write_parquet(tested, f"{out}/test")
+    return balanced, tested
 
 
 @dataclass(frozen=True)

@@ -12,10 +12,16 @@ from ringcast.operators.models import StackedModel
 
 
 def write_parquet(
-    df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False
+    df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int | None = None
 ) -> None:
-    """``single_file`` funnels the last stage through one task: for small outputs only."""
-    (df.coalesce(1) if single_file else df).write.mode(mode).parquet(path)
+    """``rows_per_file`` deals the rows to as few files as hold them, one task for each.
+
+    An output of up to that many rows is a single file, and a larger one never goes
+    through a single task. Counts ``df`` first: pass a staged or cheap frame.
+    """
+    if rows_per_file is not None:
+        df = df.repartition(max(1, -(-df.count() // rows_per_file)))
+    df.write.mode(mode).parquet(path)
 
 
 def write_latest_archive(
@@ -54,13 +60,15 @@ def log_metrics(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def model_path(base: str, name: str, day: dt.date | None = None) -> str:
-    return f"{base}/cp_{name}_v1_{day or dt.date.today()}"
+def model_path(base: str, name: str, day: dt.date | None = None, prefix: str = "contact") -> str:
+    return f"{base}/{prefix}_{name}_{day or dt.date.today()}"
 
 
-def save_model(model, base: str, name: str, day: dt.date | None = None) -> str:
+def save_model(
+    model, base: str, name: str, day: dt.date | None = None, prefix: str = "contact"
+) -> str:
     """Save under a dated name; return the path."""
-    path = model_path(base, name, day)
+    path = model_path(base, name, day, prefix)
     if isinstance(model, PipelineModel):
         model.write().overwrite().save(path)
     else:

@@ -85,3 +85,13 @@ def test_one_per_account_keeps_unknown_accounts(spark):
 def test_feature_columns_are_sorted(spark):
     df = spark.createDataFrame([(1, 2, 3)], "b long, A long, target long")
     assert dataset.feature_columns(df, ["target"]) == ["A", "b"]
+
+
+@pytest.mark.parametrize("n", [1, 37, 399, 400])
+@pytest.mark.parametrize("ranked", [1, 5, 1000])
+def test_take_hashed_narrows_the_cut(spark, n, ranked):
+    """However few rows may be ranked, the rows of lowest hash come out; ties too."""
+    df = spark.createDataFrame([(i % 150, i % 2) for i in range(400)], "id long, x long")
+    got = dataset.take_hashed(df, n, ["id"], digits=1, ranked=ranked).collect()
+    whole = sorted((hashlib.md5(str(i % 150).encode()).hexdigest(), i % 150, i % 2) for i in range(400))
+    assert sorted(tuple(r) for r in got) == sorted((i, x) for _, i, x in whole[:n])

@@ -72,3 +72,19 @@ def test_nothing_predicted(spark):
 def test_one_class_has_no_auc(spark):
     df = spark.createDataFrame([(1, 0.2), (1, 0.1)], "target int, score double")
     assert metrics.roc_auc(df).first().roc_auc is None
+
+
+@pytest.mark.parametrize("bad", [None, float("nan")])
+@pytest.mark.parametrize("measure", [metrics.roc_auc, metrics.roc_curve, metrics.pr_curve])
+def test_scores_without_a_place_raise(spark, bad, measure):
+    df = spark.createDataFrame([(1, 0.9), (0, bad), (0, 0.2)], "target int, score double")
+    with pytest.raises(Exception, match="NULL or NaN"):
+        measure(df).collect()
+
+
+def test_no_rows(spark):
+    df = spark.createDataFrame([], "target int, score double, pred int")
+    assert [tuple(r) for r in metrics.roc_auc(df).collect()] == [(None,)]
+    assert [tuple(r) for r in metrics.roc_curve(df).collect()] == [(None, 0.0, 0.0)]
+    assert [tuple(r) for r in metrics.pr_curve(df).collect()] == [(None, 1.0, 0.0)]
+    assert tuple(metrics.precision_recall(df).first()) == (0.0, 0.0)

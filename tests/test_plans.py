@@ -7,7 +7,15 @@ from ringcast.functions.scalar import scoring_date
 from ringcast.operators import models
 from ringcast.operators.quality import check_presence, require_rows
 from ringcast.plans import inference, training
-from ringcast.plans.features import FEATURES, feature_frame, last_rows, point_in_time
+from ringcast.plans.features import (
+    FEATURES,
+    METRICS,
+    feature_frame,
+    history_slice,
+    last_rows,
+    point_in_time,
+)
+from ringcast.plans.training import build_dataset, labelled_frame
 from ringcast.sources import read as sources
 from ringcast.sources import sinks, specs
 
@@ -32,24 +40,55 @@ def test_width(feeds):
     assert len([*FEATURES, "called"]) == 72
 
 
-@pytest.mark.parametrize("near_days", [0, 1, 6, 45])
-def test_slice_equals_whole_panel(feeds, whole, near_days):
-    """However far the first look goes back, the days come out the same."""
-    some = feature_frame(feeds, "2024-01-12", "2024-01-14", with_mac=True, near_days=near_days)
-    want = whole.where("event_date between '2024-01-12' and '2024-01-14'")
-    assert rows(some) == rows(want)
+@pytest.mark.parametrize("start, end", [("2024-01-12", "2024-01-14"), ("2024-01-29", "2024-01-30"),
+                                        ("2024-01-01", "2024-01-01"), ("2025-01-01", "2025-01-02")])
+def test_slice_equals_whole_panel(feeds, whole, start, end):
+    some = feature_frame(feeds, start, end, with_mac=True)
+    assert rows(some) == rows(whole.where(f"event_date between '{start}' and '{end}'"))
 
 
-def test_hot_accounts_in_the_frame(feeds, whole):
-    assert rows(feature_frame(feeds, with_mac=True, hot_rows=10)) == rows(whole)
+@pytest.mark.parametrize("bounds", [{"start": "2024-01-12"}, {"end": "2024-01-12"}])
+def test_one_bound_is_refused(feeds, bounds):
+    with pytest.raises(ValueError):
+        feature_frame(feeds, **bounds)
 
 
-@pytest.mark.parametrize("near_days", [2, 45])
-def test_point_in_time_equals_first_modem(feeds, whole, near_days):
+def test_history_reads_metrics_by_date_only(feeds):
+    """Without a lower bound on the date, scans may read keys alone."""
+    history = history_slice(feeds, DAY, DAY)
+    plan = history.inside.unionByName(history.before)._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in plan.splitlines() if "FileScan parquet" in x]
+    assert scans
+    for scan in scans:
+        read = scan[scan.index("ReadSchema: struct<"):]
+        if any(m in read for m in METRICS):
+            assert "GreaterThanOrEqual(event_date" in scan
+
+
+def test_reversed_split_has_targets(feeds):
+    def positives(train, test):
+        frame = labelled_frame(feeds, train, test, window=3)
+        return frame.groupBy("target").count().orderBy("target").collect()
+
+    early, late = ("2024-01-08", "2024-01-12"), ("2024-01-13", "2024-01-16")
+    assert positives(early, late) == positives(late, early)
+    assert len(positives(late, early)) == 2
+
+
+def test_label_complete_on_request(feeds):
+    days = ("2024-01-08", "2024-01-12"), ("2024-01-13", "2024-01-16")
+    train_df, test_df = build_dataset(feeds, *days, window=3, with_complete=True)
+    assert "label_complete" in train_df.columns
+    done = {r.event_date.day: r.label_complete for r in test_df.collect()}
+    assert done[13] and not done[14] and not done[16]
+    assert "label_complete" not in build_dataset(feeds, *days)[0].columns
+
+
+def test_point_in_time_equals_first_modem(feeds, whole):
     first = whole.where(f"event_date = '{DAY}'").groupBy("account_number").agg(
         F.min_by(F.struct(*whole.columns), "mac").alias("r")
     ).select("r.*")
-    assert rows(point_in_time(feeds, DAY, near_days)) == rows(first.select("account_number", "event_date", "mac", *FEATURES))
+    assert rows(point_in_time(feeds, DAY)) == rows(first.select("account_number", "event_date", "mac", *FEATURES))
 
 
 def test_last_rows_are_cut_before_the_shuffle(feeds):

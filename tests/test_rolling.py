@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ringcast.operators.rolling import STATS, rolling_stats, with_halo
+from ringcast.operators.rolling import STATS, cut_ranges, rolling_stats, with_halo
 
 SCHEMA = "account_number long, event_date date, mac string, x double"
 
@@ -65,19 +65,18 @@ def test_matches_brute_force(spark, before):
     check(rolling_stats(df, ["x"], STATS, before), rows, before)
 
 
-@pytest.mark.parametrize("seed,hot_rows", [(1, 0), (2, 40), (3, 200)])
-def test_hot_accounts_split_alike(spark, seed, hot_rows):
+@pytest.mark.parametrize("seed,parts", [(1, 2), (2, 40), (3, 200)])
+def test_hot_accounts_split_alike(spark, seed, parts):
     rows = panel_rows(600, seed, 9, hot_share=0.34, null_accounts=True)
     df = spark.createDataFrame(rows, SCHEMA)
-    check(rolling_stats(df, ["x"], STATS, 14, hot_rows=hot_rows), rows, 14)
+    check(rolling_stats(cut_ranges(df, parts=parts), ["x"], STATS, 14), rows, 14)
 
 
 def test_ranges_shorter_than_the_frame(spark):
     """More ranges than rows: a frame has to reach over several of them."""
     rows = panel_rows(60, 5, 2)
-    ranged = with_halo(
-        spark.createDataFrame(rows, SCHEMA), 14, "account_number", ("event_date", "mac"), parts=40
-    )
+    cut = cut_ranges(spark.createDataFrame(rows, SCHEMA), parts=40)
+    ranged = with_halo(cut, 14, "account_number", ("event_date", "mac"))
     assert ranged.where("_own").count() == len(rows)
     sizes = ranged.where("_own").groupBy("account_number", "_part").count()
     assert sizes.agg(F.max("count")).first()[0] <= 10
@@ -109,6 +108,8 @@ def test_unknown_statistic(spark):
 
 def test_one_window_node(spark):
     df = spark.createDataFrame(panel_rows(50, 1, 3), SCHEMA).withColumn("y", F.col("x") + 1)
-    out = rolling_stats(df, ["x", "y"], ["var", "avg", "kurtosis"], hot_rows=None)
+    out = rolling_stats(df, ["x", "y"], ["var", "avg", "kurtosis"])
     plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Window [") == 1
+    # of the windows, one holds all statistics
+    assert plan.count("windowspecdefinition") and plan.count("avg(") >= 3
+    assert sum("avg(" in line for line in plan.splitlines() if "Window [" in line) == 1
