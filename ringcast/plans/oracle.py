@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 
 from ringcast.plans.features import FEATURES, HISTORY_DAYS, METRICS, STATS
-from ringcast.plans.queries import CONTINUOUS, INTEGERS, SCORING_DAY, SHORT, TEST, TRAIN
+from ringcast.plans.queries import CONTINUOUS, INTEGERS, SCORING_DAY, TEST, TRAIN
 from ringcast.plans.testdata import KEPT, UNEVEN
 
 # weight of the fractional metrics, as in the test data adapter
@@ -181,7 +181,7 @@ def stat(metric: str, name: str, rows: int = 14) -> str:
 
 def rolling(name: str, rows: int = 14) -> str:
     columns = []
-    for m in SHORT:
+    for m in METRICS:
         expr = f"round({stat(m, name, rows)}, 6)"
         if name in ("sum", "max") and m in INTEGERS:
             expr = f"cast({expr} as bigint)"
@@ -452,7 +452,8 @@ def oracle_queries() -> dict[str, str]:
             "select dataset, target, count(*) as n_rows, 6 as n_columns from (select target, case "
             f"when event_date between date '{TRAIN[0]}' and date '{TRAIN[1]}' then 'train' when "
             f"event_date between date '{TEST[0]}' and date '{TEST[1]}' then 'test' end as dataset "
-            "from targets) where dataset is not null group by 1, 2", TARGETS),
+            "from targets) where dataset is not null group by 1, 2 union all "
+            "select 'all', target, count(*), 6 from targets group by 2", TARGETS),
         "dedupe_account": sql(
             "select account_number, event_date, mac, outage_count, category_name, called from "
             "(select m.*, coalesce(l.category_name, 'no_call') as category_name, "
@@ -482,9 +483,7 @@ def oracle_queries() -> dict[str, str]:
             f"select account_number, event_date, {FRAME_OUT} from frame "
             f"where event_date between date '{TEST[0]}' and date '{TEST[1]}'", FRAME),
         "feature_panel_compat": sql(
-            "select account_number, event_date, mac, "
-            + ", ".join(c for c in FEATURES if c.startswith("call_count_")) + " from frame",
-            FRAME_COMPAT),
+            f"select account_number, event_date, mac, {FRAME_OUT} from frame", FRAME_COMPAT),
         "point_in_time_day": sql(
             f"select account_number, event_date, mac, {FRAME_OUT} from frame "
             f"where event_date = date '{SCORING_DAY}' "

@@ -29,7 +29,6 @@ SCORING_DAY = "2024-01-20"
 TRAIN = ("2024-01-06", "2024-01-15")
 TEST = ("2024-01-16", "2024-01-20")
 DIGITS = 6
-SHORT = ("cmts_cm_us_signal_noise_avg", "whix_daily", "outage_count")
 
 
 def query(fn: Query) -> Query:
@@ -215,7 +214,7 @@ def wifi_left_fill(spark, sf):
 # --- rolling statistics ------------------------------------------------------
 
 
-def _rolling(spark, sf, stat, metrics_=SHORT, rows=14, parts=None):
+def _rolling(spark, sf, stat, metrics_=METRICS, rows=14, parts=None):
     ranged = cut_ranges(_panel(spark, sf), parts=parts)
     keys = ["account_number", "event_date", "mac"]
     out = rolling_stats(ranged, metrics_, [stat], rows, keep=keys)
@@ -485,8 +484,10 @@ def legacy_balance(spark, sf):
 
 @query
 def class_profile(spark, sf):
-    train, test = dataset.time_split(stage(_targets(spark, sf), "targets"), TRAIN, TEST)
-    return dataset.class_profile({"train": train, "test": test})
+    """Rows of both classes in the two parts, and on all days."""
+    targets = stage(_targets(spark, sf), "targets")
+    train, test = dataset.time_split(targets, TRAIN, TEST)
+    return dataset.class_profile({"train": train, "test": test, "all": targets})
 
 
 def _history(spark, sf):
@@ -588,8 +589,7 @@ def feature_days(spark, sf):
 
 @query
 def feature_panel_compat(spark, sf):
-    names = ["account_number", "event_date", "mac", *[c for c in FEATURES if c.startswith("call_count_")]]
-    return feature_frame(_feeds(spark, sf), compat=True, with_mac=True).select(*names)
+    return rounded(feature_frame(_feeds(spark, sf), compat=True, with_mac=True), CONTINUOUS)
 
 
 @query
