@@ -17,7 +17,7 @@ allow the similarity: of 64 samples, 52 are expected to agree at 0.8, and 38 hav
 the weights shared in each of ``PARTS`` parts of the hash range are at most the lesser of
 both texts' weights there, which bounds the similarity from above.
 In a bucket nodes are not compared all with all, but with a few pivots, those first that share most buckets with others.  Links then join nodes, and
-only nodes outside of a bucket's largest component become pivots of the next round, four
+only nodes outside of a bucket's largest component become pivots of the next round, many
 times as many as before, until a bucket is one component or each of its outsiders has
 been a pivot.  So every two nodes of a bucket are in one component or were compared, save
 those that samples and weights rule out.  No group is gathered in one
@@ -41,7 +41,8 @@ from ringcast.session import stage
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 16, 4
-PARTS, PART_UNITS = 128, 32  # of the hash range; units of weight
+PARTS, PART_STEPS = 128, 126  # of the hash range; steps of weight (a byte holds them)
+MORE_PIVOTS = 16  # times as many in the next round
 MOST_DIFFERENT = 26  # of the samples, by four bits of each
 SKETCH = 1 << 18
 CHANCES = 1 << 15  # rows of the table of random numbers
@@ -182,7 +183,8 @@ def _signed(logs):
 
 
 def _vectors(logs):
-    """Weights by part of the hash range, rounded up; the total weight; the set."""
+    """Weights by part of the hash range, in steps of a unit, rounded up; the unit; the
+    total weight; the set."""
 
     def compute(_, texts):
         of, hashes, times = weighted_sets(texts)
@@ -191,10 +193,11 @@ def _vectors(logs):
         ends = list(zip(bounds[:-1], bounds[1:], strict=True))
         part = (hashes >> np.uint64(20)).astype(np.int64) % PARTS
         parts = np.bincount(of * PARTS + part, weight.astype(np.float64), len(texts) * PARTS)
-        parts = np.ceil(parts * PART_UNITS).reshape(-1, PARTS)
-        fits = parts.max(1, initial=0) < 1 << 15
+        parts = parts.reshape(-1, PARTS)
+        unit = np.maximum(parts.max(1, initial=0), 1e-9) / (PART_STEPS - 1)
         return [
-            [p.astype(np.int32) if ok else None for p, ok in zip(parts, fits, strict=True)],
+            list(np.ceil(parts / unit[:, None]).astype(np.int32)),
+            unit,
             [float(weight[a:b].sum(dtype=np.float64)) for a, b in ends],
             [hashes[a:b].tobytes() + weight[a:b].tobytes() for a, b in ends],
         ]
@@ -254,8 +257,9 @@ def components(edges: DataFrame) -> DataFrame:
         )
         hooks = stage(hooks, "component-hooks")
         while True:
-            ends = hooks.select(F.col("node").alias("root"), F.col("root").alias("end"))
-            longer = hooks.join(ends, "root").select("node", "root", "end")
+            ends = hooks.select(F.col("node").alias("root"), F.col("root").alias("next"))
+            beyond = hooks.select(F.col("node").alias("next"), F.col("root").alias("end"))
+            longer = hooks.join(ends, "root").join(beyond, "next").select("node", "root", "end")
             longer = stage(longer, "component-chains")
             done = longer.where("end <> root").isEmpty()
             hooks = longer.select("node", F.col("end").alias("root"))
@@ -305,7 +309,7 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
     members = members.withColumns({"root": F.col("node"), "used": F.lit(False)})
     labels = members.select("node", "root").distinct()
     tested = None
-    pivots_each = 1
+    pivots_each, last = 1, False
     while True:
         if tested is None:
             open_ = members
@@ -313,12 +317,19 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
         else:
             sizes = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
             sizes = sizes.groupBy("bucket").agg(
-                F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("n_roots")
+                F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n")
             )
             sizes = stage(
-                sizes.where("n_roots > 1").select("bucket", F.col("top.root").alias("top")),
+                sizes.where("n > top.n").select(
+                    "bucket", F.col("top.root").alias("top"), (F.col("n") - F.col("top.n")).alias("n")
+                ),
                 "dedup-open",
             )
+            most = sizes.agg(F.max("n")).first()[0]
+            if most is None:
+                return labels
+            last = most <= pivots_each
+            sizes = sizes.drop("n")
             open_ = stage(members.join(sizes, "bucket"), "dedup-members")
             outside = open_.where("root <> top and not used").drop("top")
             open_ = open_.drop("top")
@@ -328,21 +339,30 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
         pivots = outside.withColumn("place", rank).where(F.col("place") <= pivots_each)
         pivots = pivots.select("bucket", "node", "root").join(facts, "node")
         pivots = stage(pivots, "dedup-pivots")
-        if pivots.isEmpty():
-            return labels
         least = F.least("x.total", "y.total")
         close = least >= (SIMILARITY - 1e-6) * F.greatest("x.total", "y.total")
         same_bands = F.zip_with("x.bands", "y.bands", lambda a, b: a == b)
         this_band = F.zip_with("x.bands", "y.bands", lambda a, b: F.when(a == b, a))
         shared = F.aggregate(
-            F.zip_with("x.parts", "y.parts", lambda a, b: F.least(a, b)), F.lit(0), lambda s, v: s + v
-        ) / F.lit(PART_UNITS)
+            F.zip_with(
+                "x.parts",
+                "y.parts",
+                lambda a, b: F.least(a * F.col("x.unit"), b * F.col("y.unit")),
+            ),
+            F.lit(0.0),
+            lambda s, v: s + v,
+        )
         possible = shared >= (SIMILARITY - 1e-6) * (
             F.col("x.total") + F.col("y.total") - shared
         )
+        if tested is None:
+            # one pivot in each bucket makes few pairs: the wide columns stay out
+            known_facts, possible = facts.drop("parts", "unit"), F.lit(True)
+        else:
+            known_facts = facts
         first = F.get(this_band, (F.array_position(same_bands, True) - 1).cast("int"))
         pairs = (
-            open_.select("bucket", "node", "root").join(facts, "node").alias("x")
+            open_.select("bucket", "node", "root").join(known_facts, "node").alias("x")
             .join(
                 pivots.alias("y"),
                 (F.col("x.bucket") == F.col("y.bucket"))
@@ -350,7 +370,7 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
                 & close
                 & _maybe_similar("x", "y")
                 & (first == F.shiftright(F.col("x.bucket"), 32).cast("int"))
-                & F.coalesce(possible, F.lit(True)),
+                & possible,
             )
             .select(
                 F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
@@ -373,6 +393,8 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
             .select("node", F.coalesce("to", "root").alias("root")),
             "dedup-labels",
         )
+        if last:
+            return labels
         chosen = pivots.select("bucket", "node", F.lit(True).alias("pivot"))
         members = (
             open_.drop("root")
@@ -382,7 +404,7 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
                     (F.col("used") | F.col("pivot").isNotNull()).alias("used"))
         )
         members = stage(members, "dedup-members")
-        pivots_each *= 4
+        pivots_each *= MORE_PIVOTS
 
 
 def _node(text: str) -> Column:
@@ -431,15 +453,18 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     )
     vectors = stage(
         over_texts(
-            texts, ["node"], "parts array<int>, total double, vector binary", _vectors(logs)
+            texts,
+            ["node"],
+            "parts array<int>, unit double, total double, vector binary",
+            _vectors(logs),
         ),
         "dedup-vectors",
     )
     members = stage(members.select("bucket", "node").join(scores, "node"), "dedup-members")
     # what pairs are told apart by before their sets are read
     short = F.transform("bands", lambda b: F.shiftright(b, 32).cast("int"))
-    parts = F.col("parts").cast("array<smallint>").alias("parts")
-    facts = vectors.select("node", "total", parts).join(
+    parts = F.col("parts").cast("array<tinyint>").alias("parts")
+    facts = vectors.select("node", "total", "unit", parts).join(
         nodes.select("node", "lanes", short.alias("bands")), "node"
     )
     labels = _joined_nodes(members, stage(facts, "dedup-facts"), vectors)
