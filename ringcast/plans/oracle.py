@@ -342,6 +342,47 @@ RECALL = "(count(*) filter (pred = 1 and target = 1))::double / (count(*) filter
 INNER = METRICS[:-3]
 
 
+def model_queries(scoring_frame: str) -> dict[str, str]:
+    """What holds of models however they are fitted, and the rows that whole jobs leave."""
+    n = len(FEATURES)
+    facts = sql(
+        "select account_number, event_date, category_name, target, true as in_range, "
+        "true as agrees from test_rows", FRAME, SPLIT)
+    places = ", ".join(
+        f"('{output}', '{place}', {columns})"
+        for output, columns in (("features", n + 4), ("scores", n + 6), ("explanations", n + 3))
+        for place in ("ARCHIVE", "LATEST")
+    )
+    return {
+        "rf_score_facts": facts,
+        "gbt_score_facts": facts,
+        "stack_score_facts": facts,
+        "saved_model_agrees": sql(
+            "select distinct account_number, event_date, category_name, true as same "
+            "from test_rows", FRAME, SPLIT),
+        "importance_facts": f"select unnest(['model', 'surrogate']) as kind, {n + 1} as n_features, "
+        "1.0::double as total",
+        "local_contrib_exact": sql(
+            "select account_number, event_date, mac, round(slope * (outage_count - middle), 4) "
+            "as outage_count from modem_days, (select avg(outage_count) as middle, "
+            "regr_slope(0.3 + outage_count / 50 + (day(event_date) % 3) / 100, outage_count) "
+            "as slope from modem_days)"),
+        "inference_job": f"select cast(account_number as varchar) as account_number, event_date, "
+        f"output, place, n_columns from ({scoring_frame}), "
+        f"(values {places}) p(output, place, n_columns)",
+        "dataset_job": sql(
+            f"select {DATASET_OUT}, 'train' as part from {balanced('train_rows')} union all "
+            f"select {DATASET_OUT}, 'test' from test_rows", FRAME, SPLIT),
+        "training_job": sql(
+            "select concat_ws(' ', 'profile train', target) as fact, count(*) as n "
+            f"from {balanced('train_rows')} group by target union all "
+            "select concat_ws(' ', 'profile test', target), count(*) from test_rows "
+            "group by target union all "
+            f"select 'record 2024-02-01 {TRAIN[0]} {TEST[1]}', 1 union all "
+            f"select 'surrogate features', {n + 1}", FRAME, SPLIT),
+    }
+
+
 def oracle_queries() -> dict[str, str]:
     modem_labels = "select account_number, event_date, mac"
     out = {
@@ -511,6 +552,8 @@ def oracle_queries() -> dict[str, str]:
             "from support_cases group by 1, 2"),
     }
     out["ground_truth_table"] = out["ground_truth_rule1"]
+    out["label_views"] = out["ground_truth_rule1"]
+    out |= model_queries(out["inference_frame"])
     out["forward_label_legacy"] = sql(
         f"select * from {forward('cased', 'target_icm', 15)}",
         "cased as (" + out["case_label"].split(VIEWS)[1].strip() + ")")

@@ -160,6 +160,26 @@ def load_all(spark, sf):
     return reduce(DataFrame.unionByName, sized)
 
 
+@query
+def label_views(spark, sf):
+    """The label script: four views over each other, and the table of their join."""
+    conversations, booked, session_categories, categories = _speech(spark, sf)
+    kept = labels.session_categories(session_categories, categories, KEPT)
+    sources.register_views({
+        "cat_name": kept,
+        "sessions_booked_cleaned": booked.select("speech_id", "sid").distinct(),
+        "sum_fct_cleaned": conversations.select("speech_id", "account_number", "event_date").distinct(),
+    })
+    sources.register_views({
+        "inter_table": spark.sql(
+            "select * from sum_fct_cleaned join sessions_booked_cleaned using (speech_id)"
+        )
+    })
+    return spark.sql(
+        "select account_number, event_date, category_name from inter_table join cat_name using (sid)"
+    )
+
+
 @query
 def views(spark, sf):
     raw = RawTables(spark, sf)
@@ -672,6 +692,143 @@ def saved_model_score(spark, sf):
     return models.score(test_df, sinks.load_model(path))
 
 
+# what is exact about fitted models: the rows scored, ranges, agreement, sums
+
+
+def _score_facts(df: DataFrame) -> DataFrame:
+    """Keys of the scored rows, and whether score and class are sound."""
+    return df.select(
+        "account_number", "event_date", "category_name", "target",
+        F.col("score").between(0, 1).alias("in_range"),
+        # of a tie either class may be taken
+        ((F.col("score") == 0.5) | ((F.col("score") > 0.5) == (F.col("pred") == 1))).alias("agrees"),
+    )
+
+
+@query
+def rf_score_facts(spark, sf):
+    return _score_facts(_train(spark, sf, "rf").scored)
+
+
+@query
+def gbt_score_facts(spark, sf):
+    return _score_facts(_train(spark, sf, "gbt").scored)
+
+
+@query
+def stack_score_facts(spark, sf):
+    return _score_facts(_train(spark, sf, "stack").scored)
+
+
+@query
+def saved_model_agrees(spark, sf):
+    """Scores of a model saved and loaded, next to those of the model itself."""
+    train_df, test_df = _dataset(spark, sf)
+    test_df = stage(test_df, "saved-test")
+    fitted = models.fit(dataset.fill_zero(train_df), "rf", **SMALL["rf"])
+    path = sinks.save_model(fitted, _fresh(spark, "models"), "rf", dt.date(2024, 2, 1))
+    keys = ["account_number", "event_date", "category_name"]
+    scored = [
+        models.score(test_df, m).groupBy(*keys).agg(
+            F.array_sort(F.collect_list("score")).alias(name)
+        )
+        for name, m in (("own", fitted), ("loaded", sinks.load_model(path)))
+    ]
+    same = reduce(lambda a, b: a.join(b, keys, "full"), scored)
+    return same.select(*keys, F.col("own").eqNullSafe(F.col("loaded")).alias("same"))
+
+
+@query
+def importance_facts(spark, sf):
+    """Importances of a forest and of its surrogate: features named, and their sum."""
+    trained = _train(spark, sf, "rf")
+    order = models.feature_order(trained.model)
+    tables = {
+        "model": explain.importances(spark, trained.model),
+        "surrogate": explain.global_surrogate(trained.scored, order),
+    }
+    return reduce(DataFrame.unionByName, [
+        df.agg(
+            F.lit(name).alias("kind"), F.countDistinct("feature").alias("n_features"),
+            F.round(F.sum("importance"), 6).alias("total"),
+        )
+        for name, df in tables.items()
+    ])
+
+
+@query
+def local_contrib_exact(spark, sf):
+    """Contributions to a score that is a line in one column plus a part off the line."""
+    rows = _modem_days(spark, sf).join(
+        _read(spark, sf, specs.ACCESSIBILITY).select("mac", "event_date", "outage_count"),
+        ["mac", "event_date"],
+    )
+    off = F.pmod(F.day("event_date"), F.lit(3)) / 100
+    scored = rows.withColumn("score", 0.3 + F.col("outage_count") / 50 + off)
+    out = explain.local_contributions(
+        scored, ["outage_count"], ["account_number", "event_date", "mac"]
+    )
+    return rounded(out, ["outage_count"], 4)
+
+
+# --- whole jobs --------------------------------------------------------------
+
+
+@query
+def inference_job(spark, sf):
+    """Rows of the archives that a scoring run leaves: features, scores, explanations."""
+    out = _fresh(spark, "inference")
+    train_df, _ = _dataset(spark, sf)
+    model = models.fit(dataset.fill_zero(train_df), "rf", **SMALL["rf"])
+    inference.run_inference(spark, _feeds(spark, sf), model, out, SCORING_DAY)
+    found = []
+    for name in ("features", "scores", "explanations"):
+        for place, path in (("ARCHIVE", f"ARCHIVE/DATE_PART={SCORING_DAY}"), ("LATEST", "LATEST")):
+            rows = spark.read.parquet(f"{out}/{name}/{path}")
+            found.append(rows.select(
+                F.col("account_number").cast("string").alias("account_number"), "event_date",
+                F.lit(name).alias("output"), F.lit(place).alias("place"),
+                F.lit(len(rows.columns)).alias("n_columns"),
+            ))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def dataset_job(spark, sf):
+    """The written training and test sets, read back."""
+    out = _fresh(spark, "dataset")
+    training.build_dataset(_feeds(spark, sf), TRAIN, TEST, window=3, out=out)
+    parts = [
+        spark.read.parquet(f"{out}/{name}").withColumn("part", F.lit(name))
+        for name in ("train", "test")
+    ]
+    return rounded(reduce(DataFrame.unionByName, parts), CONTINUOUS)
+
+
+@query
+def training_job(spark, sf):
+    """What a training run leaves: profile, record of scores, surrogate."""
+    out, day = _fresh(spark, "training"), dt.date(2024, 2, 1)
+    train_df, test_df = _dataset(spark, sf)
+    training.train(
+        train_df, test_df, ["rf"], (*TRAIN, *TEST), "zero", out, day, SMALL
+    )
+    profile = spark.read.parquet(f"{out}/profile").select(
+        F.concat_ws(" ", F.lit("profile"), "dataset", "target").alias("fact"),
+        F.col("n_rows").cast("long").alias("n"),
+    )
+    record = spark.read.parquet(f"{out}/training_scores/rf/ARCHIVE/DATE_PART={day}")
+    sound = reduce(lambda a, b: a & b, [F.col(c).between(0, 1) for c in ("AUC", "precision", "recall")])
+    record = record.select(
+        F.concat_ws(" ", F.lit("record"), "event_date", "train_start_date", "test_end_date").alias("fact"),
+        sound.cast("long").alias("n"),
+    )
+    surrogate = spark.read.parquet(f"{out}/explanations/rf").agg(
+        F.lit("surrogate features").alias("fact"), F.countDistinct("feature").alias("n")
+    )
+    return profile.unionByName(record).unionByName(surrogate)
+
+
 # --- sinks and streaming -----------------------------------------------------
 
 
