@@ -13,7 +13,7 @@ a class is a connected component of links.  At 0.8 exactly two texts miss each o
 probability (1 - 0.8^ROWS)^BANDS, 0.0002.
 
 Equal texts are one node.  Before two sets are compared, their samples and weights must
-allow the similarity: of 64 samples, 52 are expected to agree at 0.8, and 38 have to; and
+allow the similarity: of 64 samples, 52 are expected to agree at 0.8, and 39 have to; and
 the weights shared in each of ``PARTS`` parts of the hash range are at most the lesser of
 both texts' weights there, which bounds the similarity from above.
 In a bucket nodes are not compared all with all, but with a few pivots, those first that share most buckets with others.  Links then join nodes, and
@@ -41,12 +41,14 @@ from ringcast.session import stage
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 16, 4
-PARTS, PART_STEPS = 128, 126  # of the hash range; steps of weight (a byte holds them)
-MORE_PIVOTS = 16  # times as many in the next round
-MOST_DIFFERENT = 26  # of the samples, by four bits of each
+PARTS, PART_STEPS = 128, 32_000  # of the hash range; steps of weight (two bytes hold them)
+MORE_PIVOTS = 12  # times as many in the next round
+MOST_DIFFERENT = 25  # of the samples, by four bits of each
 SKETCH = 1 << 18
 CHANCES = 1 << 15  # rows of the table of random numbers
 TOGETHER = 4096  # shingles sampled at once
+ROWS_EACH, SETS_EACH = 100_000, 10_000  # rows of a partition, and of one with sets
+PAIRED_EACH = 1_000  # rows of a partition that are paired with pivots
 SEED = 20240101
 
 _chances: list[tuple[np.ndarray, ...]] = []
@@ -242,6 +244,16 @@ def _compared(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, schema)
 
 
+def _sized(df: DataFrame, name: str, rows_each: int = ROWS_EACH) -> tuple[DataFrame, int]:
+    """The staged frame in as many partitions as its rows need, and their number.
+
+    What fits one partition is then joined and summed without a shuffle.
+    """
+    staged = stage(df, name)
+    n = staged.count()
+    return staged.coalesce(max(1, -(-n // rows_each))), n
+
+
 def components(edges: DataFrame) -> DataFrame:
     """The least node of its component, ``root``, for each node of the edges (a, b).
 
@@ -249,18 +261,18 @@ def components(edges: DataFrame) -> DataFrame:
     end, and edges between ends go on to the next turn.
     """
     roots = None
-    edges = stage(edges.where("a <> b").distinct(), "component-edges")
-    while not edges.isEmpty():
+    edges, n = _sized(edges.where("a <> b").distinct(), "component-edges")
+    while n:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hooks = both.groupBy(F.col("a").alias("node")).agg(
             F.least(F.min("b"), F.col("a")).alias("root")
         )
-        hooks = stage(hooks, "component-hooks")
+        hooks, _ = _sized(hooks, "component-hooks")
         while True:
             ends = hooks.select(F.col("node").alias("root"), F.col("root").alias("next"))
             beyond = hooks.select(F.col("node").alias("next"), F.col("root").alias("end"))
             longer = hooks.join(ends, "root").join(beyond, "next").select("node", "root", "end")
-            longer = stage(longer, "component-chains")
+            longer, _ = _sized(longer, "component-chains")
             done = longer.where("end <> root").isEmpty()
             hooks = longer.select("node", F.col("end").alias("root"))
             if done:
@@ -271,7 +283,7 @@ def components(edges: DataFrame) -> DataFrame:
             moved = roots.select("node", F.col("root").alias("via")).join(
                 hooks.select(F.col("node").alias("via"), "root"), "via", "left"
             )
-            roots = stage(
+            roots, _ = _sized(
                 moved.select("node", F.coalesce("root", "via").alias("root")), "component-roots"
             )
         ends = hooks.select("node", "root")
@@ -282,14 +294,14 @@ def components(edges: DataFrame) -> DataFrame:
             .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
             .distinct()
         )
-        edges = stage(edges, "component-edges")
+        edges, n = _sized(edges, "component-edges")
     if roots is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots
 
 
 def _maybe_similar(x: str, y: str) -> Column:
-    """Whether two nodes' samples agree often enough: at 0.8 all but 1 pair in 70,000."""
+    """Whether two nodes' samples agree often enough: at 0.8 all but 1 pair in 24,000."""
     differ = F.lit(0)
     for i in range(BANDS * ROWS // 16):
         odd = F.col(f"{x}.lanes")[i].bitwiseXOR(F.col(f"{y}.lanes")[i])
@@ -308,18 +320,18 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
     """
     members = members.withColumns({"root": F.col("node"), "used": F.lit(False)})
     labels = members.select("node", "root").distinct()
-    tested = None
+    tested, n_tested = None, 0
     pivots_each, last = 1, False
     while True:
         if tested is None:
-            open_ = members
+            open_, n_open = members, members.count()
             outside = members
         else:
             sizes = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
             sizes = sizes.groupBy("bucket").agg(
                 F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n")
             )
-            sizes = stage(
+            sizes, _ = _sized(
                 sizes.where("n > top.n").select(
                     "bucket", F.col("top.root").alias("top"), (F.col("n") - F.col("top.n")).alias("n")
                 ),
@@ -330,7 +342,7 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
                 return labels
             last = most <= pivots_each
             sizes = sizes.drop("n")
-            open_ = stage(members.join(sizes, "bucket"), "dedup-members")
+            open_, n_open = _sized(members.join(sizes, "bucket"), "dedup-open-members")
             outside = open_.where("root <> top and not used").drop("top")
             open_ = open_.drop("top")
         rank = F.row_number().over(
@@ -338,11 +350,9 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
         )
         pivots = outside.withColumn("place", rank).where(F.col("place") <= pivots_each)
         pivots = pivots.select("bucket", "node", "root").join(facts, "node")
-        pivots = stage(pivots, "dedup-pivots")
+        pivots, _ = _sized(pivots, "dedup-pivots")
         least = F.least("x.total", "y.total")
         close = least >= (SIMILARITY - 1e-6) * F.greatest("x.total", "y.total")
-        same_bands = F.zip_with("x.bands", "y.bands", lambda a, b: a == b)
-        this_band = F.zip_with("x.bands", "y.bands", lambda a, b: F.when(a == b, a))
         shared = F.aggregate(
             F.zip_with(
                 "x.parts",
@@ -360,9 +370,13 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
             known_facts, possible = facts.drop("parts", "unit"), F.lit(True)
         else:
             known_facts = facts
-        first = F.get(this_band, (F.array_position(same_bands, True) - 1).cast("int"))
+        xs, ys = F.col("x.bands"), F.col("y.bands")
+        first = F.coalesce(*[F.when(xs[i] == ys[i], xs[i]) for i in range(BANDS)])
+        wide = open_.select("bucket", "node", "root").join(known_facts, "node")
+        if n_open <= ROWS_EACH:  # one partition, but more work than one task should have
+            wide = wide.repartition(max(1, n_open // PAIRED_EACH))
         pairs = (
-            open_.select("bucket", "node", "root").join(known_facts, "node").alias("x")
+            wide.alias("x")
             .join(
                 pivots.alias("y"),
                 (F.col("x.bucket") == F.col("y.bucket"))
@@ -379,16 +393,20 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
         )
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        checked = stage(_compared(pairs, vectors), "dedup-checked")
+        pairs, _ = _sized(pairs, "dedup-pairs")
+        checked, n = _sized(_compared(pairs, vectors), "dedup-checked")
         known = checked.select("a", "b")
-        tested = known if tested is None else tested.unionByName(known)
+        n_tested += n
+        if tested is not None:
+            known = tested.unionByName(known).coalesce(max(1, -(-n_tested // ROWS_EACH)))
+        tested = known
 
         links = checked.where("linked").select("a", "b")
         ends = labels.select("node", "root")
         between = links.join(ends.toDF("a", "ra"), "a").join(ends.toDF("b", "rb"), "b")
         moved = components(between.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
         moved = moved.select(F.col("node").alias("root"), F.col("root").alias("to"))
-        labels = stage(
+        labels, _ = _sized(
             labels.join(moved, "root", "left")
             .select("node", F.coalesce("to", "root").alias("root")),
             "dedup-labels",
@@ -403,7 +421,7 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
             .select("bucket", "node", "score", "root",
                     (F.col("used") | F.col("pivot").isNotNull()).alias("used"))
         )
-        members = stage(members, "dedup-members")
+        members, _ = _sized(members, "dedup-members")
         pivots_each *= MORE_PIVOTS
 
 
@@ -438,20 +456,25 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     sizes = stage(
         meet.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "dedup-buckets"
     )
-    members = stage(meet.join(sizes, "bucket"), "dedup-meetings")
-    scores = members.groupBy("node").agg(F.sum("n").alias("score"))
-    scores = stage(scores, "dedup-scores")
+    members, _ = _sized(meet.join(sizes, "bucket"), "dedup-meetings")
+    scores, _ = _sized(
+        members.groupBy("node").agg(F.sum("n").alias("score")), "dedup-scores"
+    )
 
     # one row of each node that meets others
     wanted = scores.select("node").join(nodes.select("node", "least"), "node")
+    wanted, _ = _sized(
+        wanted.select(F.col("node").alias("wanted"), F.col("least")), "dedup-wanted"
+    )
+    # by node and key, so that a text of very many rows is not one key of the join
+    one = (F.col("node") == F.col("wanted")) & F.col("key").eqNullSafe(F.col("least"))
     texts = (
         read.withColumn("node", _node("text"))
-        .join(wanted, "node")
-        .where(F.col("key").eqNullSafe(F.col("least")))
+        .join(wanted, one)
         .select("node", "text")
         .dropDuplicates(["node"])
     )
-    vectors = stage(
+    vectors, _ = _sized(
         over_texts(
             texts,
             ["node"],
@@ -459,15 +482,17 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             _vectors(logs),
         ),
         "dedup-vectors",
+        SETS_EACH,
     )
-    members = stage(members.select("bucket", "node").join(scores, "node"), "dedup-members")
+    members, _ = _sized(members.select("bucket", "node").join(scores, "node"), "dedup-members")
     # what pairs are told apart by before their sets are read
     short = F.transform("bands", lambda b: F.shiftright(b, 32).cast("int"))
-    parts = F.col("parts").cast("array<tinyint>").alias("parts")
+    parts = F.col("parts").cast("array<smallint>").alias("parts")
     facts = vectors.select("node", "total", "unit", parts).join(
         nodes.select("node", "lanes", short.alias("bands")), "node"
     )
-    labels = _joined_nodes(members, stage(facts, "dedup-facts"), vectors)
+    facts, _ = _sized(facts, "dedup-facts")
+    labels = _joined_nodes(members, facts, vectors)
 
     least = nodes.select("node", "least")
     joined = least.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -191,7 +191,7 @@ def over_texts(
     columns of ``docs`` are not read, whatever their names.
     """
     importable(docs.sparkSession)
-    added = T._parse_datatype_string(new)
+    added = T.StructType.fromDDL(new)
     made = {f.name for f in added}
     passed = [c for c in keep if c not in made]
     read = docs.select(*[f"`{c}`" for c in dict.fromkeys([*passed, text])])
