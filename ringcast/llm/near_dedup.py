@@ -47,8 +47,7 @@ MOST_DIFFERENT = 25  # of the samples, by four bits of each
 SKETCH = 1 << 18
 CHANCES = 1 << 15  # rows of the table of random numbers
 TOGETHER = 4096  # shingles sampled at once
-ROWS_EACH, SETS_EACH = 100_000, 10_000  # rows of a partition, and of one with sets
-PAIRED_EACH = 1_000  # rows of a partition that are paired with pivots
+ROWS_EACH = 100_000  # rows of a partition of links and labels
 SEED = 20240101
 
 _chances: list[tuple[np.ndarray, ...]] = []
@@ -244,14 +243,14 @@ def _compared(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, schema)
 
 
-def _sized(df: DataFrame, name: str, rows_each: int = ROWS_EACH) -> tuple[DataFrame, int]:
+def _sized(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     """The staged frame in as many partitions as its rows need, and their number.
 
-    What fits one partition is then joined and summed without a shuffle.
+    Few links or labels are then joined and summed without a shuffle.
     """
     staged = stage(df, name)
     n = staged.count()
-    return staged.coalesce(max(1, -(-n // rows_each))), n
+    return staged.coalesce(max(1, -(-n // ROWS_EACH))), n
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -320,12 +319,11 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
     """
     members = members.withColumns({"root": F.col("node"), "used": F.lit(False)})
     labels = members.select("node", "root").distinct()
-    tested, n_tested = None, 0
+    tested = None
     pivots_each, last = 1, False
     while True:
         if tested is None:
-            open_, n_open = members, members.count()
-            outside = members
+            open_ = outside = members
         else:
             sizes = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
             sizes = sizes.groupBy("bucket").agg(
@@ -342,7 +340,7 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
                 return labels
             last = most <= pivots_each
             sizes = sizes.drop("n")
-            open_, n_open = _sized(members.join(sizes, "bucket"), "dedup-open-members")
+            open_ = stage(members.join(sizes, "bucket"), "dedup-open-members")
             outside = open_.where("root <> top and not used").drop("top")
             open_ = open_.drop("top")
         rank = F.row_number().over(
@@ -372,11 +370,8 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
             known_facts = facts
         xs, ys = F.col("x.bands"), F.col("y.bands")
         first = F.coalesce(*[F.when(xs[i] == ys[i], xs[i]) for i in range(BANDS)])
-        wide = open_.select("bucket", "node", "root").join(known_facts, "node")
-        if n_open <= ROWS_EACH:  # one partition, but more work than one task should have
-            wide = wide.repartition(max(1, n_open // PAIRED_EACH))
         pairs = (
-            wide.alias("x")
+            open_.select("bucket", "node", "root").join(known_facts, "node").alias("x")
             .join(
                 pivots.alias("y"),
                 (F.col("x.bucket") == F.col("y.bucket"))
@@ -393,13 +388,9 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
         )
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs, _ = _sized(pairs, "dedup-pairs")
-        checked, n = _sized(_compared(pairs, vectors), "dedup-checked")
+        checked = stage(_compared(pairs, vectors), "dedup-checked")
         known = checked.select("a", "b")
-        n_tested += n
-        if tested is not None:
-            known = tested.unionByName(known).coalesce(max(1, -(-n_tested // ROWS_EACH)))
-        tested = known
+        tested = known if tested is None else tested.unionByName(known)
 
         links = checked.where("linked").select("a", "b")
         ends = labels.select("node", "root")
@@ -421,7 +412,7 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
             .select("bucket", "node", "score", "root",
                     (F.col("used") | F.col("pivot").isNotNull()).alias("used"))
         )
-        members, _ = _sized(members, "dedup-members")
+        members = stage(members, "dedup-members")
         pivots_each *= MORE_PIVOTS
 
 
@@ -456,16 +447,12 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     sizes = stage(
         meet.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "dedup-buckets"
     )
-    members, _ = _sized(meet.join(sizes, "bucket"), "dedup-meetings")
-    scores, _ = _sized(
-        members.groupBy("node").agg(F.sum("n").alias("score")), "dedup-scores"
-    )
+    members = stage(meet.join(sizes, "bucket"), "dedup-meetings")
+    scores = stage(members.groupBy("node").agg(F.sum("n").alias("score")), "dedup-scores")
 
     # one row of each node that meets others
     wanted = scores.select("node").join(nodes.select("node", "least"), "node")
-    wanted, _ = _sized(
-        wanted.select(F.col("node").alias("wanted"), F.col("least")), "dedup-wanted"
-    )
+    wanted = stage(wanted.select(F.col("node").alias("wanted"), "least"), "dedup-wanted")
     # by node and key, so that a text of very many rows is not one key of the join
     one = (F.col("node") == F.col("wanted")) & F.col("key").eqNullSafe(F.col("least"))
     texts = (
@@ -474,7 +461,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         .select("node", "text")
         .dropDuplicates(["node"])
     )
-    vectors, _ = _sized(
+    vectors = stage(
         over_texts(
             texts,
             ["node"],
@@ -482,17 +469,15 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             _vectors(logs),
         ),
         "dedup-vectors",
-        SETS_EACH,
     )
-    members, _ = _sized(members.select("bucket", "node").join(scores, "node"), "dedup-members")
+    members = stage(members.select("bucket", "node").join(scores, "node"), "dedup-members")
     # what pairs are told apart by before their sets are read
     short = F.transform("bands", lambda b: F.shiftright(b, 32).cast("int"))
     parts = F.col("parts").cast("array<smallint>").alias("parts")
     facts = vectors.select("node", "total", "unit", parts).join(
         nodes.select("node", "lanes", short.alias("bands")), "node"
     )
-    facts, _ = _sized(facts, "dedup-facts")
-    labels = _joined_nodes(members, facts, vectors)
+    labels = _joined_nodes(members, stage(facts, "dedup-facts"), vectors)
 
     least = nodes.select("node", "least")
     joined = least.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
