@@ -8,19 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringcast.operators.counts import HISTORY_DAYS, add_contact_history
+from ringcast.session import stage
 
-CHAT_COLUMNS = (
-    "account_number",
-    "event_date",
-    "chat_count_0",
-    "chat_count_10",
-    "chat_count_30",
-    "chat_count_60",
-    "chat_count_120",
-    "message_text",
-    "message_technician",
-    "message_customer",
-)
+# Output columns before and after the counts.
+KEYS = ("account_number", "event_date")
+TEXTS = ("message_text", "message_technician", "message_customer")
 
 
 def chat_sessions(
@@ -42,10 +34,13 @@ def chat_history(
 
     ``contacts`` are the events counted: support cases, or the chats
     themselves with ``day="chat_date"``. ``days`` may give the chats'
-    (account_number, event_date) without their texts, for the day counts.
+    (account_number, event_date) without their texts, for the day counts;
+    without it the chats are staged, as they are read twice.
     """
     dated = chats.withColumnRenamed("chat_date", "event_date")
+    if days is None:
+        dated = stage(dated, "chats")
+    counts = [f"chat_count_{n}" for n in (0, *sorted(windows))]
     return add_contact_history(
         dated, contacts, windows, prefix="chat_count_", day=day, compat=compat, days=days
-    ).select(*CHAT_COLUMNS[:2], "chat_count_0", *[f"chat_count_{n}" for n in sorted(windows)],
-             *CHAT_COLUMNS[-3:])
+    ).select(*KEYS, *counts, *TEXTS)

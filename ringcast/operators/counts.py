@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ringcast.functions.rows import repeat_rows
 from ringcast.functions.scalar import day_number
 
+# Days that the trailing counts look back, as the saved models know them.
 HISTORY_DAYS = (60, 30, 10, 120)
 
 
@@ -115,7 +116,8 @@ def add_contact_history(
     """``add_same_day`` and ``add_trailing`` with a single join onto the panel.
 
     ``days`` gives the panel's (account_number, event_date) rows where they
-    reach further back than ``panel`` itself.
+    reach further back than ``panel`` itself. Without it ``panel`` is read twice:
+    pass a staged or cheap frame.
     """
     keys = ["account_number", "event_date"]
     out = f"{prefix}0"

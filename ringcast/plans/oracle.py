@@ -298,7 +298,7 @@ def presence(day: str) -> str:
 SIZED = {
     "modem": {"accessibility": 6, "attainability": 7, "service_quality": 10, "intermittency": 5,
               "usage_ranked": 8, "mac_usage": 3},
-    "usage": {"usage_ranked": 8, "mac_usage": 3},
+    "usage": {"usage_ranked_own": 8, "mac_usage_own": 3},
     "wifi": {"whix": 5},
     "support": {"support_cases": 6, "case_headers": 6},
     "speech": {"sessions_booked": 3, "categories": 2, "sessions_categories": 2,
@@ -306,7 +306,8 @@ SIZED = {
     "chat": {"chat_sessions": 3, "chat_accounts": 2, "chat_transcripts": 4},
     "customers": {"accounts": 5, "customer_accounts": None},
 }
-SIZED_VIEWS = {"mac_usage": "accessibility", "service_quality": "quality_all",
+SIZED_VIEWS = {"mac_usage": "accessibility", "mac_usage_own": "accessibility",
+               "usage_ranked_own": "usage_ranked", "service_quality": "quality_all",
                "case_headers": "orders", "accounts": "customer", "customer_accounts": "supplier"}
 
 

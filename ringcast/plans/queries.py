@@ -626,14 +626,20 @@ def _dataset(spark, sf):
     return training.build_dataset(_feeds(spark, sf), TRAIN, TEST, window=3)
 
 
+def _labelled_days(spark, sf):
+    return stage(training.labelled_frame(_feeds(spark, sf), TRAIN, TEST, window=3), "dataset")
+
+
 @query
 def training_set(spark, sf):
-    return rounded(_dataset(spark, sf)[0], CONTINUOUS)
+    half = training.training_half(_labelled_days(spark, sf), TRAIN, training.DATASET_COLUMNS)
+    return rounded(half, CONTINUOUS)
 
 
 @query
 def testing_set(spark, sf):
-    return rounded(_dataset(spark, sf)[1], CONTINUOUS)
+    half = training.testing_half(_labelled_days(spark, sf), TEST, training.DATASET_COLUMNS)
+    return rounded(half, CONTINUOUS)
 
 
 # --- models (rows only: fitted values differ between libraries) --------------

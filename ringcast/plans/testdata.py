@@ -62,6 +62,8 @@ class RawTables(Mapping):
             "intermittency": self._intermittency,
             "usage_ranked": self._usage_ranked,
             "mac_usage": self._mac_usage,
+            "usage_ranked_own": self._usage_ranked,
+            "mac_usage_own": self._mac_usage,
             "whix": self._whix,
             "support_cases": self._support_cases,
             "case_headers": lambda: self.load("orders"),

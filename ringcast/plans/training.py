@@ -13,7 +13,6 @@ from ringcast.operators.dataset import (
     between_days,
     class_profile,
     take_hashed,
-    time_split,
     undersample,
 )
 from ringcast.operators.labels import attach_label, forward_label
@@ -52,6 +51,19 @@ def labelled_frame(feeds: Feeds, train: Days, test: Days, window: int = 10) -> D
     return forward_label(labelled, "called", window, horizon_end=str(end))
 
 
+def training_half(frame: DataFrame, days: Days, columns: Sequence[str]) -> DataFrame:
+    """Balanced rows of the training days of a staged labelled frame."""
+    return undersample(between_days(frame, *days)).select(*columns)
+
+
+def testing_half(
+    frame: DataFrame, days: Days, columns: Sequence[str], rows: int | None = None
+) -> DataFrame:
+    """Rows of the test days of a staged labelled frame, at most ``rows`` if given."""
+    test_df = between_days(frame, *days)
+    return (test_df if rows is None else take_hashed(test_df, rows)).select(*columns)
+
+
 def build_dataset(
     feeds: Feeds,
     train: Days,
@@ -69,11 +81,8 @@ def build_dataset(
     """
     columns = [*DATASET_COLUMNS, *(["label_complete"] if with_complete else [])]
     frame = stage(labelled_frame(feeds, train, test, window), "dataset")
-    train_df, test_df = time_split(frame, train, test)
-    balanced = undersample(train_df).select(*columns)
-    if test_rows is not None:
-        test_df = take_hashed(test_df, test_rows)
-    tested = test_df.select(*columns)
+    balanced = training_half(frame, train, columns)
+    tested = testing_half(frame, test, columns, test_rows)
     if out is not None:
         write_parquet(balanced, f"{out}/train")
         write_parquet(tested, f"{out}/test")

@@ -8,7 +8,7 @@ table, a path-backed DataFrame or a view of its own.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 
 @dataclass(frozen=True)
@@ -74,6 +74,9 @@ USAGE_RANKED = SourceSpec(
     renamed={"mac": "cm_mac_addr"},
 )
 MAC_USAGE = SourceSpec("mac_usage")
+# the usage database keeps tables of its own under the same columns
+USAGE_RANKED_OWN = replace(USAGE_RANKED, name="usage_ranked_own")
+MAC_USAGE_OWN = replace(MAC_USAGE, name="mac_usage_own")
 WHIX = SourceSpec(
     "whix",
     kept=("event_date", "COUNT_DAILY_GW_WIFI_TOOHOT"),
@@ -144,11 +147,11 @@ def _family(*specs: SourceSpec) -> dict[str, SourceSpec]:
 MODEM_HEALTH = _family(
     ACCESSIBILITY, ATTAINABILITY, SERVICE_QUALITY, INTERMITTENCY, USAGE_RANKED, MAC_USAGE
 )
-USAGE = _family(USAGE_RANKED, MAC_USAGE)
+USAGE = _family(USAGE_RANKED_OWN, MAC_USAGE_OWN)
 WIFI = _family(WHIX)
 SUPPORT = _family(SUPPORT_CASES, CASE_HEADERS)
 SPEECH = _family(SESSIONS_BOOKED, CATEGORIES, SESSIONS_CATEGORIES, CONVERSATIONS)
 CHAT = _family(CHAT_SESSIONS, CHAT_ACCOUNTS, CHAT_TRANSCRIPTS)
 CUSTOMERS = _family(ACCOUNTS, CUSTOMER_ACCOUNTS)
 
-ALL_SPECS = {**MODEM_HEALTH, **WIFI, **SUPPORT, **SPEECH, **CHAT, **CUSTOMERS}
+ALL_SPECS = {**MODEM_HEALTH, **USAGE, **WIFI, **SUPPORT, **SPEECH, **CHAT, **CUSTOMERS}
