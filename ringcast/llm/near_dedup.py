@@ -319,13 +319,13 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
     """
     members = members.withColumns({"root": F.col("node"), "used": F.lit(False)})
     labels = members.select("node", "root").distinct()
-    tested = None
     pivots_each, last = 1, False
     while True:
-        if tested is None:
+        if pivots_each == 1:
             open_ = outside = members
         else:
-            sizes = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+            sizes = members.repartition("bucket")
+            sizes = sizes.groupBy("bucket", "root").agg(F.count("*").alias("n"))
             sizes = sizes.groupBy("bucket").agg(
                 F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n")
             )
@@ -347,8 +347,8 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
             Window.partitionBy("bucket").orderBy(F.desc("score"), "node")
         )
         pivots = outside.withColumn("place", rank).where(F.col("place") <= pivots_each)
-        pivots = pivots.select("bucket", "node", "root").join(facts, "node")
-        pivots, _ = _sized(pivots, "dedup-pivots")
+        chosen, _ = _sized(pivots.select("bucket", "node", "root"), "dedup-chosen")
+        pivots, _ = _sized(chosen.join(facts, "node"), "dedup-pivots")
         least = F.least("x.total", "y.total")
         close = least >= (SIMILARITY - 1e-6) * F.greatest("x.total", "y.total")
         shared = F.aggregate(
@@ -363,7 +363,7 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
         possible = shared >= (SIMILARITY - 1e-6) * (
             F.col("x.total") + F.col("y.total") - shared
         )
-        if tested is None:
+        if pivots_each == 1:
             # one pivot in each bucket makes few pairs: the wide columns stay out
             known_facts, possible = facts.drop("parts", "unit"), F.lit(True)
         else:
@@ -371,7 +371,10 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
         xs, ys = F.col("x.bands"), F.col("y.bands")
         first = F.coalesce(*[F.when(xs[i] == ys[i], xs[i]) for i in range(BANDS)])
         pairs = (
-            open_.select("bucket", "node", "root").join(known_facts, "node").alias("x")
+            open_.where("not used")  # who was a pivot here has met all others
+            .select("bucket", "node", "root")
+            .join(known_facts, "node")
+            .alias("x")
             .join(
                 pivots.alias("y"),
                 (F.col("x.bucket") == F.col("y.bucket"))
@@ -384,13 +387,10 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
             .select(
                 F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
             )
+            .repartition("a")
             .distinct()
         )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
         checked = stage(_compared(pairs, vectors), "dedup-checked")
-        known = checked.select("a", "b")
-        tested = known if tested is None else tested.unionByName(known)
 
         links = checked.where("linked").select("a", "b")
         ends = labels.select("node", "root")
@@ -404,12 +404,11 @@ def _joined_nodes(members: DataFrame, facts: DataFrame, vectors: DataFrame) -> D
         )
         if last:
             return labels
-        chosen = pivots.select("bucket", "node", F.lit(True).alias("pivot"))
+        chosen = chosen.select("bucket", "node", F.lit(True).alias("pivot"))
         members = (
-            open_.drop("root")
-            .join(labels, "node")
+            open_.join(moved, "root", "left")
             .join(chosen, ["bucket", "node"], "left")
-            .select("bucket", "node", "score", "root",
+            .select("bucket", "node", "score", F.coalesce("to", "root").alias("root"),
                     (F.col("used") | F.col("pivot").isNotNull()).alias("used"))
         )
         members = stage(members, "dedup-members")
