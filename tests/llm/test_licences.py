@@ -1,6 +1,9 @@
+from pathlib import Path
+
 import pytest
 
-from ringcast.llm.licences import TEMPLATES, scan_licences, train_licences
+from ringcast.llm import licences
+from ringcast.llm.licences import SHARED, TEMPLATES, scan_licences, train_licences
 
 PLAIN = "This is an ordinary line about the river and the law of the town."
 
@@ -67,3 +70,41 @@ def test_whole_table_against_the_planted_lines(spark, model, sf):
     }
     got = {(r.doc_id, r.paragraph) for r in scan_licences(docs, model).collect()}
     assert got == lines and lines
+
+
+BSD = [t for f, t in SHARED if f == ("bsd-2-clause", "bsd-3-clause")]
+THIRD = TEMPLATES["bsd-3-clause"][0]
+
+
+def test_shared_paragraphs_by_the_rest_of_the_document(spark, model):
+    rows = [(1, "\n".join(BSD)), (2, "\n".join([*BSD[:3], THIRD, BSD[3]])), (3, BSD[0])]
+    wanted = [(1, i, "bsd-2-clause") for i in range(4)]
+    wanted += [(2, i, "bsd-3-clause") for i in range(5)] + [(3, 0, "unknown")]
+    assert scan(spark, model, rows) == wanted
+
+
+def test_shared_disclaimer_beside_a_notice(spark, model):
+    disclaimer = next(t for f, t in SHARED if f == ("mit", "unlicense"))
+    rows = [(i, f"{TEMPLATES[f][0]}\n{disclaimer}") for i, f in enumerate(["mit", "unlicense"])]
+    wanted = [(i, j, f) for i, f in enumerate(["mit", "unlicense"]) for j in (0, 1)]
+    assert scan(spark, model, rows) == wanted
+
+
+def test_wrapped_bodies(spark, model):
+    bodies = sorted(Path(licences.__file__).with_name("licence_texts").glob("*.txt"))
+    rows = [(i, p.read_text()) for i, p in enumerate(bodies)]
+    got = scan(spark, model, rows)
+    for i, path in enumerate(bodies):
+        lines = [x for x in rows[i][1].split("\n") if len(x.split()) >= 10]
+        families = [f for d, _, f in got if d == i]
+        assert families.count(path.stem) >= 0.8 * len(lines), path.stem
+        assert families.count(path.stem) >= 0.95 * len(families), path.stem
+
+
+def test_unlisted_licences_are_reported_as_unknown(spark, model):
+    rows = [
+        (1, "This font is released under the Quiet River Font License."),
+        (2, "SPDX-License-Identifier: Zlib"),
+        (3, PLAIN),
+    ]
+    assert scan(spark, model, rows) == [(1, 0, "unknown"), (2, 0, "unknown")]
