@@ -191,6 +191,21 @@ def test_words_set_apart(spark, labelled):
     assert "idiot" in got and "clown" in got
 
 
+@pytest.mark.parametrize(
+    "written",
+    ['"i d i o t"', "(i d i o t)", "«i d i o t», he", "i   d   i   o   t.", "i\nd\ni\no\nt", "i. d. i. o. t!"],
+)
+def test_words_set_apart_in_punctuation_and_blanks(spark, labelled, written):
+    assert "idiot" in restored_text(f"you are {written}", _toxic(labelled).characters)
+
+
+@pytest.mark.parametrize(
+    "written, plain", [("mooron", "moron"), ("iddiot", "idiot"), ("sttupid", "stupid")]
+)
+def test_letters_doubled_as_disguise(spark, labelled, written, plain):
+    assert restore(written, _toxic(labelled).characters) == plain
+
+
 def test_viterbi_finds_the_cheapest_reading(spark, labelled):
     from itertools import product
 
