@@ -156,3 +156,41 @@ select page_id, n as payload_bytes, p.digest as payload_digest,
   case when page_id is distinct from first then first end as refers_to
 from p left join f on p.digest = f.digest
 """
+
+ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+DECONTAMINATION = rf"""
+with d as (
+  select row_number() over () as r, doc_id, regexp_extract_all({_low}, '{ITEM_WORD}') as w
+  from documents
+),
+b as (select item_id, regexp_extract_all({_low}, '{ITEM_WORD}') as w from benchmark),
+win as (
+  select distinct item_id, least(len(w), 10) as n, array_to_string(w[i:i + 9], ' ') as run
+  from (select *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from b where len(w) > 0)
+),
+found as (
+  select r, i, n, run
+  from (select r, w, n, unnest(range(1, len(w) - n + 2)) as i
+        from d, (select distinct n from win) where len(w) >= n) s,
+       lateral (select array_to_string(w[i:i + n - 1], ' ') as run) t
+),
+hits as (
+  select r, i, h.n, item_id from found h join win on win.run = h.run and win.n = h.n
+),
+words as (
+  select r, count(distinct pos) as n_hit
+  from (select r, unnest(range(i, i + n)) as pos from (select distinct r, i, n from hits))
+  group by r
+),
+items as (
+  select r, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct r, item_id::varchar as item from hits where item_id is not null)
+  group by r
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+  coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from d left join words using (r) left join items using (r)
+"""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringcast.llm import oracle
+from ringcast.llm.decontamination import item_digests
 from ringcast.llm.fingerprints import compare_edited
 from ringcast.llm.language_id import identify_languages, train_languages
 from ringcast.llm.licences import scan_licences, train_licences
@@ -101,9 +102,16 @@ def op10_winnowing(spark, sf_dir):
     return compare_edited(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_decontamination(spark, sf_dir):
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return item_digests(docs, items)
+
+
 def oracle_queries() -> dict[str, str]:
     return {
         "op4_mix_sources": oracle.MIXING,
         "op5_quality_rules": oracle.QUALITY_RULES,
         "op7_warc": oracle.WARC,
+        "op13_decontamination": oracle.DECONTAMINATION,
     }

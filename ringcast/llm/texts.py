@@ -221,6 +221,7 @@ _ARROW = {
     "string": pa.string(),
     "binary": pa.binary(),
     "array<bigint>": pa.list_(pa.int64()),
+    "array<array<bigint>>": pa.list_(pa.list_(pa.int64())),
     "array<int>": pa.list_(pa.int32()),
     "array<string>": pa.list_(pa.string()),
 }
