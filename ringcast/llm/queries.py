@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringcast.llm import oracle
+from ringcast.llm.alignment import align_documents
 from ringcast.llm.decontamination import item_digests
 from ringcast.llm.fingerprints import compare_edited
 from ringcast.llm.language_id import identify_languages, train_languages
@@ -102,6 +103,13 @@ def op10_winnowing(spark, sf_dir):
     return compare_edited(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_alignment(spark, sf_dir):
+    files = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents")
+    return align_documents(docs, *files, public_tokenizers.PATTERN, ["doc_id"])
+
+
 @query
 def op13_decontamination(spark, sf_dir):
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
