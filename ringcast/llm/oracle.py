@@ -194,3 +194,59 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
   coalesce(n_hit, 0) > 0 as contaminated
 from d left join words using (r) left join items using (r)
 """
+
+_bits = " + ".join(f"{1 << i} * {c}::int" for i, c in enumerate("abcde"))
+
+FILTER_AUDIT = rf"""
+with d as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '{WORD}') as w
+  from documents
+),
+l as (
+  select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic
+  from labels group by doc_id
+),
+failed as (
+  select doc_id, part,
+    len(w) < 50 as a,
+    100 * len(list_distinct(w)) < 65 * len(w) as b,
+    100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) as c,
+    regexp_matches(text, '[#$%&*|]') as d,
+    coalesce(doc_id > min(doc_id) over (partition by text), false) as e
+  from d
+),
+masks as (
+  select part, {_bits} as mask, count(*) as n, sum(coalesce(good, 0)) as good,
+    sum(coalesce(toxic, 0)) as toxic
+  from failed left join l using (doc_id) group by all
+),
+f as (select unnest(['A', 'B', 'C', 'D', 'E']) as name, unnest([1, 2, 4, 8, 16]) as bit),
+orders as (
+  select [p.bit, q.bit, r.bit, s.bit, t.bit] as bits,
+    p.name || q.name || r.name || s.name || t.name as filter_order
+  from f p, f q, f r, f s, f t
+  where p.bit + q.bit + r.bit + s.bit + t.bit = 31 and (p.bit | q.bit | r.bit | s.bit | t.bit) = 31
+),
+steps as (
+  select filter_order, step, bits[step] as f,
+    coalesce(list_sum(bits[1:step - 1]), 0)::int as earlier
+  from orders, (select unnest(range(1, 6)) as step)
+),
+counted as (
+  select part, filter_order, step, f,
+    sum(n) filter (where mask & (earlier | f) = 0) as kept,
+    sum(n) filter (where mask & f > 0 and mask & earlier = 0) as removed,
+    sum(n) filter (where mask & f > 0 and mask & earlier > 0) as redundant,
+    sum(n) filter (where mask = f) as unique_fails,
+    sum(good) filter (where mask & f > 0 and mask & earlier = 0) as good_lost,
+    sum(toxic) filter (where mask & f > 0 and mask & earlier = 0) as toxic_lost
+  from masks, steps group by part, filter_order, step, f
+)
+select part, filter_order, step::int as step, coalesce(kept, 0)::bigint as kept,
+  coalesce(removed, 0)::bigint as removed, coalesce(redundant, 0)::bigint as redundant,
+  coalesce(unique_fails, 0)::bigint as unique_fails,
+  coalesce(good_lost, 0)::bigint as good_lost, coalesce(toxic_lost, 0)::bigint as toxic_lost,
+  coalesce(sum(removed) over (partition by part, f), 0)::bigint as shapley
+from counted
+"""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ringcast.llm import oracle
 from ringcast.llm.alignment import align_documents
 from ringcast.llm.decontamination import item_digests
+from ringcast.llm.filter_audit import audit_files, best_labels
 from ringcast.llm.fingerprints import compare_edited
 from ringcast.llm.language_id import identify_languages, train_languages
 from ringcast.llm.licences import scan_licences, train_licences
@@ -103,6 +104,12 @@ def op10_winnowing(spark, sf_dir):
     return compare_edited(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_filter_audit(spark, sf_dir):
+    labels = best_labels(table(spark, sf_dir, "labels"))
+    return audit_files(spark, f"{sf_dir}/documents.parquet", labels)
+
+
 @query
 def op12_alignment(spark, sf_dir):
     files = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
@@ -121,5 +128,6 @@ def oracle_queries() -> dict[str, str]:
         "op4_mix_sources": oracle.MIXING,
         "op5_quality_rules": oracle.QUALITY_RULES,
         "op7_warc": oracle.WARC,
+        "op11_filter_audit": oracle.FILTER_AUDIT,
         "op13_decontamination": oracle.DECONTAMINATION,
     }
