@@ -64,7 +64,7 @@ def test_unknown_kind(data):
 def test_saved_model_scores_alike(data, tmp_path):
     model = models.fit(data, "rf", **SMALL["rf"])
     path = sinks.save_model(model, str(tmp_path), "rf", dt.date(2024, 2, 1))
-    assert path.endswith("cp_rf_v1_2024-02-01")
+    assert path.endswith("contact_rf_2024-02-01")
     again = sinks.load_model(path)
     pick = ["account_number", "score"]
     assert sorted(models.score(data, again).select(pick).collect()) == sorted(
