@@ -233,7 +233,31 @@ def point_in_time(feeds: Feeds, when: str | dt.date) -> DataFrame:
     day = F.lit(when).cast("date")
     history = history_slice(feeds, when, when)
     today = one_per_account(history.inside, order=["mac"])
-    reached = history.before.unionByName(today)
+    present = history.days.groupBy("account_number", "event_date").agg(
+        F.count(F.lit(1)).alias("_rows")
+    )
+    opened = (
+        _reached_cases(feeds, when, when)
+        .groupBy("account_number", F.col("creation_time").alias("event_date"))
+        .agg(F.count(F.lit(1)).alias("_cases"))
+    )
+    per_day = present.join(opened, ["account_number", "event_date"], "left").fillna({"_cases": 0})
+    ago = F.date_diff(day, F.col("event_date"))
+    same_day = F.max(F.when(ago == 0, F.col("_cases"))).alias("call_count_0")
+    trailing = [
+        F.sum(F.when(ago.between(1, n), F.col("_rows") * F.col("_cases"))).alias(f"call_count_{n}")
+        for n in HISTORY_DAYS
+    ]
+    counts = per_day.groupBy(F.col("account_number").alias("_account")).agg(same_day, *trailing)
+    return day_features(today, history.before, counts, day)
+
+
+def day_features(today: DataFrame, before: DataFrame, counts: DataFrame, day: Column) -> DataFrame:
+    """Feature rows of a day from one panel row per account, the rows before it, and counts.
+
+    ``counts`` has the account in ``_account`` and the contact counts of the day.
+    """
+    reached = before.unionByName(today)
     moments = []
     for m in METRICS:
         x = F.col(m).cast("double")
@@ -251,24 +275,7 @@ def point_in_time(feeds: Feeds, when: str | dt.date) -> DataFrame:
         )
         .where(F.col("_last") == day)
     )
-    present = history.days.groupBy("account_number", "event_date").agg(
-        F.count(F.lit(1)).alias("_rows")
-    )
-    opened = (
-        _reached_cases(feeds, when, when)
-        .groupBy("account_number", F.col("creation_time").alias("event_date"))
-        .agg(F.count(F.lit(1)).alias("_cases"))
-    )
-    per_day = present.join(opened, ["account_number", "event_date"], "left").fillna({"_cases": 0})
-    ago = F.date_diff(day, F.col("event_date"))
-    same_day = F.max(F.when(ago == 0, F.col("_cases"))).alias("call_count_0")
-    trailing = [
-        F.sum(F.when(ago.between(1, n), F.col("_rows") * F.col("_cases"))).alias(f"call_count_{n}")
-        for n in HISTORY_DAYS
-    ]
-    counts = per_day.groupBy(F.col("account_number").alias("_account")).agg(same_day, *trailing)
     same = rolled["account_number"].eqNullSafe(counts["_account"])
     return rolled.join(counts, same).select(
         "account_number", day.alias("event_date"), "mac", *FEATURES
     )
-

@@ -361,6 +361,26 @@ def model_queries(scoring_frame: str) -> dict[str, str]:
         "saved_model_agrees": sql(
             "select distinct account_number, event_date, category_name, true as same "
             "from test_rows", FRAME, SPLIT),
+        "local_contrib_sums": sql(
+            "select account_number, event_date, category_name, true as same from test_rows",
+            FRAME, SPLIT),
+        # the mean over two orders of what each feature adds to the expected value
+        "tree_contrib_exact": sql(
+            "select account_number, mac, event_date, "
+            "round(0.5::double * (branch - whole + leaf - split), 9) as outage_count, "
+            "round(0.5::double * (split - whole + leaf - branch), 9) as transitions from ("
+            "select *, (avg(y) over ())::double as whole, (avg(y) over (partition by o))::double as branch, "
+            "(avg(y) over (partition by o, t))::double as leaf, "
+            "(select sum(share * v) from (select l.o, l.t, avg(l.y) as v, "
+            "(select count(*) from tree_rows c where c.o = l.o)::double "
+            "/ (select count(*) from tree_rows) as share from tree_rows l group by l.o, l.t) p "
+            "where p.t = (case when p.o then r.transitions > 2 else r.few end)) as split "
+            "from tree_rows r)",
+            "tree_rows as (select a.account_number, a.mac, a.event_date, transitions, "
+            "outage_count > 0 as o, transitions > 1 as few, "
+            "transitions > case when outage_count > 0 then 2 else 1 end as t, "
+            "day(event_date) % 3 as y from accessibility a join intermittency i "
+            "using (mac, event_date))"),
         "importance_facts": f"select unnest(['model', 'surrogate']) as kind, {n + 1} as n_features, "
         "1.0::double as total",
         "local_contrib_exact": sql(
@@ -386,14 +406,23 @@ def model_queries(scoring_frame: str) -> dict[str, str]:
 
 def oracle_queries() -> dict[str, str]:
     modem_labels = "select account_number, event_date, mac"
+
+    def archived(latest: str) -> str:
+        """All days by day, and once more the first or last of them."""
+        return sql(
+            f"{modem_labels}, outage_count, event_date as \"DATE_PART\", 'ARCHIVE' as place "
+            f"from modem_days union all {modem_labels}, outage_count, null, 'LATEST' from modem_days "
+            f"where event_date = (select {latest}(event_date) from modem_days)")
+
     out = {
         "scan_projected": sql(
             "select mac, event_date, " + ", ".join(cut(c) for c in (
                 "US_SPEED_ATTAINABLE_FULL", "DS_SPEED_ATTAINABLE_FULL", "attainability_pct",
                 "up_gb", "down_gb")) + " from attainability"),
         "scan_filtered": sql(
-            "select mac, event_date, channel_number, "
-            f"{cut('codeword_error_rate')}, {cut('cmts_cm_us_signal_noise_avg')} from service_quality"),
+            f"select mac, event_date, channel_number, {cut('codeword_error_rate')}, "
+            + ", ".join(cut(f"cmts_cm_us_{a}_{b}") for a in ("signal_noise", "rx_power")
+            for b in ("avg", "max", "sum")) + " from service_quality"),
         "rescale": sql(
             "select mac, event_date, channel_number, " + ", ".join(cut(f"cmts_cm_us_{a}_{b}")
             for a in ("signal_noise", "rx_power") for b in ("avg", "max", "sum")) + " from quality_all"),
@@ -541,17 +570,19 @@ def oracle_queries() -> dict[str, str]:
             FRAME, f"day_rows as (select * from {labelled_features(SCORING_DAY, SCORING_DAY)})"),
         "training_set": sql(f"select {DATASET_OUT} from {balanced('train_rows')}", FRAME, SPLIT),
         "testing_set": sql(f"select {DATASET_OUT} from test_rows", FRAME, SPLIT),
-        "latest_archive_roundtrip": sql(
-            f"{modem_labels}, outage_count, event_date as \"DATE_PART\", 'ARCHIVE' as place "
-            "from modem_days where event_date in (date '2024-01-29', date '2024-01-30') union all "
-            f"{modem_labels}, outage_count, null, 'LATEST' from modem_days "
-            "where event_date = date '2024-01-29'"),
+        "latest_archive_roundtrip": archived("min"),
+        "published_days": archived("max"),
         "metrics_log": sql(f"{presence(SCORING_DAY)} union all {presence(TEST[0])}"),
         "single_file_write": sql("select * from support_cases"),
         "new_file_refresh": sql(
             "select account_number, creation_time as event_date, count(*) as call_count_0 "
             "from support_cases group by 1, 2"),
     }
+    out["kept_state_day"] = out["point_in_time_day"]
+    totals = ", ".join(f"call_count_{n}" for n in HISTORY_DAYS)
+    out["trailing_kept"] = sql(
+        f"select distinct account_number, event_date, {totals} from frame",
+        f"frame as ({history(counted('modem_days', 'support_cases'), HISTORY_DAYS)})")
     out["ground_truth_table"] = out["ground_truth_rule1"]
     out["label_views"] = out["ground_truth_rule1"]
     out |= model_queries(out["inference_frame"])

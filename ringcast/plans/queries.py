@@ -14,12 +14,14 @@ from ringcast.functions import scalar
 from ringcast.operators import counts, dataset, explain, labels, metrics, models, panel, quality
 from ringcast.operators.chats import chat_history, chat_sessions
 from ringcast.operators.rolling import cut_ranges, rolling_stats
+from ringcast.operators.tree_paths import Node, contributions, group_paths, tree_contributions
 from ringcast.plans import inference, training
 from ringcast.plans.features import FEATURES, METRICS, Feeds, feature_frame, point_in_time
+from ringcast.plans.kept import KeptState
 from ringcast.plans.testdata import KEPT, RawTables
 from ringcast.session import shared_dir, stage
 from ringcast.sources import read as sources
-from ringcast.sources import sinks, specs
+from ringcast.sources import publish, sinks, specs
 from ringcast.streaming.refresh import batch_writer, on_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,9 +99,7 @@ def scan_projected(spark, sf):
 @query
 def scan_filtered(spark, sf):
     df = _read(spark, sf, specs.SERVICE_QUALITY, "channel_number = 0")
-    return rounded(df, ["codeword_error_rate", "cmts_cm_us_signal_noise_avg"]).select(
-        "mac", "event_date", "channel_number", "codeword_error_rate", "cmts_cm_us_signal_noise_avg"
-    )
+    return rounded(df, ["codeword_error_rate", *specs.SERVICE_QUALITY.divided])
 
 
 @query
@@ -330,6 +330,25 @@ def trailing_compat(spark, sf):
     return _order_history(spark, sf, [30, 120], compat=True)
 
 
+@query
+def trailing_kept(spark, sf):
+    """Trailing counts of every day from kept totals, each moved on by one day."""
+    rows, cases = stage(_modem_days(spark, sf), "modem-days"), stage(_cases(spark, sf), "cases")
+    state = KeptState(spark, _fresh(spark, "kept"))
+    days = [r.event_date for r in rows.select("event_date").distinct().orderBy("event_date").collect()]
+    found = []
+    for day in [days[0] + dt.timedelta(k) for k in range((days[-1] - days[0]).days + 1)]:
+        on = rows.where(F.col("event_date") == day)
+        if day == days[0]:
+            state.begin_counts(rows, cases, day - dt.timedelta(1))
+        seen = on.select("account_number").distinct()
+        found.append(
+            seen.join(state.trailing(day), "account_number", "left").withColumn("event_date", F.lit(day))
+        )
+        state.advance_counts(on, cases.where(F.col("creation_time") == day), day)
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def trailing_of_column(spark, sf):
     """Trailing sums of a panel's own column, on two modems per account."""
@@ -617,6 +636,17 @@ def point_in_time_day(spark, sf):
     return rounded(point_in_time(_feeds(spark, sf), SCORING_DAY), CONTINUOUS)
 
 
+@query
+def kept_state_day(spark, sf):
+    """Features of a day from kept state that was moved on by two days."""
+    feeds = _feeds(spark, sf)
+    state, day = KeptState(spark, _fresh(spark, "kept")), dt.date.fromisoformat(SCORING_DAY)
+    state.begin(feeds, day - dt.timedelta(3))
+    for ago in (2, 1):
+        state.advance(feeds, day - dt.timedelta(ago))
+    return rounded(state.features(feeds, day), CONTINUOUS)
+
+
 @query
 def inference_frame(spark, sf):
     return rounded(inference.inference_frame(_feeds(spark, sf), SCORING_DAY), CONTINUOUS)
@@ -686,7 +716,7 @@ def global_surrogate(spark, sf):
 @query
 def local_contrib(spark, sf):
     trained = _train(spark, sf, "rf")
-    return explain.local_contributions(trained.scored, models.feature_order(trained.model))
+    return tree_contributions(trained.scored, trained.model)[0]
 
 
 @query
@@ -694,7 +724,7 @@ def saved_model_score(spark, sf):
     """A model saved under a dated name, loaded and applied."""
     train_df, test_df = _dataset(spark, sf)
     fitted = models.fit(dataset.fill_zero(train_df), "rf", **SMALL["rf"])
-    path = sinks.save_model(fitted, f"{shared_dir(spark)}/models", "rf", dt.date(2024, 2, 1))
+    path = sinks.save_model(fitted, _fresh(spark, "models"), "rf", dt.date(2024, 2, 1))
     return models.score(test_df, sinks.load_model(path))
 
 
@@ -777,6 +807,45 @@ def local_contrib_exact(spark, sf):
     return rounded(out, ["outage_count"], 4)
 
 
+@query
+def local_contrib_sums(spark, sf):
+    """Whether each row's contributions and the base give the score of the forest."""
+    trained = _train(spark, sf, "rf")
+    keys = ["account_number", "event_date", "category_name", "score"]
+    table, base = tree_contributions(trained.scored, trained.model, keys)
+    total = sum((F.col(f"`{c}`") for c in models.feature_order(trained.model)), F.lit(base))
+    return table.select(*keys[:3], (F.abs(total - F.col("score")) < 1e-9).alias("same"))
+
+
+@query
+def tree_contrib_exact(spark, sf):
+    """Contributions in a tree whose covers and leaves are counts and means of the table."""
+    keys = ["mac", "event_date"]
+    rows = (
+        _read(spark, sf, specs.ACCESSIBILITY).select("account_number", *keys, "outage_count")
+        .join(_read(spark, sf, specs.INTERMITTENCY).select(*keys, "transitions"), keys)
+    )
+    outage, cuts = F.col("outage_count") > 0, {False: 1, True: 2}
+    often = F.col("transitions") > F.when(outage, cuts[True]).otherwise(cuts[False])
+    leaves = {
+        (r.outage, r.often): Node(r.n, r.value)
+        for r in rows.groupBy(outage.alias("outage"), often.alias("often")).agg(
+            F.count("*").alias("n"), F.avg(F.day("event_date") % 3).alias("value")
+        ).collect()
+    }
+    leaf = [leaves.get((a, b), Node(0)) for a in (False, True) for b in (False, True)]
+    below = [leaf[0].cover + leaf[1].cover, leaf[2].cover + leaf[3].cover]
+    tree = {
+        0: Node(sum(below), 0.0, 0, 0.0, 1, 2),
+        1: Node(below[0], 0.0, 1, cuts[False], 3, 4),
+        2: Node(below[1], 0.0, 1, cuts[True], 5, 6),
+        **dict(enumerate(leaf, 3)),
+    }
+    features = ["outage_count", "transitions"]
+    _, groups = group_paths([tree], [1.0])
+    return rounded(contributions(rows, features, groups, ["account_number", *keys]), features, 9)
+
+
 # --- whole jobs --------------------------------------------------------------
 
 
@@ -838,19 +907,38 @@ def training_job(spark, sf):
 # --- sinks and streaming -----------------------------------------------------
 
 
+def _by_day(spark, sf) -> tuple[DataFrame, list[dt.date]]:
+    rows = _read(spark, sf, specs.ACCESSIBILITY).select("account_number", "event_date", "mac", "outage_count")
+    staged = stage(rows, "access")
+    days = staged.select("event_date").distinct().orderBy("event_date").collect()
+    return staged, [r.event_date for r in days]
+
+
 @query
 def latest_archive_roundtrip(spark, sf):
-    """Two days archived, one of them again: LATEST and both partitions read back."""
+    """Every day archived, the first of them again: LATEST and all partitions read back."""
     base = _fresh(spark, "archive")
-    rows = _read(spark, sf, specs.ACCESSIBILITY).select("account_number", "event_date", "mac", "outage_count")
-    staged = stage(rows, "access")
-    for day in ("2024-01-29", "2024-01-30", "2024-01-29"):
-        sinks.write_latest_archive(dataset.on_day(staged, day), base)
+    staged, days = _by_day(spark, sf)
+    for day in [*days, days[0]]:
+        sinks.write_latest_archive(dataset.on_day(staged, day), base, batch_date=day)
     archive = spark.read.parquet(f"{base}/ARCHIVE").withColumn("place", F.lit("ARCHIVE"))
     latest = spark.read.parquet(f"{base}/LATEST").withColumn("DATE_PART", F.lit(None).cast("date"))
     return archive.unionByName(latest.withColumn("place", F.lit("LATEST")))
 
 
+@query
+def published_days(spark, sf):
+    """Every day published, the first of them again: it does not hide the latest."""
+    base = _fresh(spark, "published")
+    staged, days = _by_day(spark, sf)
+    for day in [*days, days[0]]:
+        on = dataset.on_day(staged, day)
+        publish.publish({"rows": on, "accounts": on.groupBy("account_number").count()}, base, day)
+    archive = publish.read_archive(spark, base, "rows").withColumn("place", F.lit("ARCHIVE"))
+    latest = publish.read_latest(spark, base, "rows").withColumn("DATE_PART", F.lit(None).cast("date"))
+    return archive.unionByName(latest.withColumn("place", F.lit("LATEST")))
+
+
 @query
 def metrics_log(spark, sf):
     path = _fresh(spark, "log")
