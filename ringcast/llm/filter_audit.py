@@ -57,6 +57,8 @@ STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": STORE,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # else each partition reserves megabytes for its logs, however little it holds
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
