@@ -37,7 +37,6 @@ MAX_ARCHIVE = 512 << 20
 SPLIT = 16 << 20
 BLOCK = 256 << 10
 MAGIC = b"\x1f\x8b\x08"
-MAX_HEADER = 64 << 10
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FILES = "path string, bytes bigint, records bigint"
 RECORDS = (
@@ -183,17 +182,16 @@ class _Archive:
             yield part, at - len(decoder.unused_data) if decoder.eof else None
 
     def starts_record(self, at: int) -> bool:
-        """Whether a member that starts here decodes to a record's header."""
-        head = b""
+        """Whether a member that starts here decodes to a record's header, of any length."""
+        version, head = b"WARC/", b""
         try:
             for part, _ in self.inflated(at):
+                seen = max(0, len(head) - 3)
                 head += part
-                if not head.startswith(b"WARC/"[: len(head)]):
+                if not head.startswith(version[: len(head)]):
                     return False
-                if b"\r\n\r\n" in head:
+                if b"\r\n\r\n" in head[seen:]:
                     return True
-                if len(head) > MAX_HEADER:
-                    return False
         except zlib.error:
             return False
         return False
@@ -290,6 +288,19 @@ def archives_under(spark: SparkSession, pattern: str) -> DataFrame:
 
 
 def archive_round_trip(pages: DataFrame, split: int = SPLIT) -> DataFrame:
-    """Writes all pages to archives in the shared folder and reads them back."""
+    """Writes all pages to archives in the shared folder and reads them back.
+
+    Raises if the number of records read is not what the writers counted.
+    """
     folder = f"{shared_dir(pages.sparkSession)}/ringcast/warc-{uuid.uuid4().hex}"
-    return read_archives(write_archives(with_firsts(pages), folder), split)
+    files = write_archives(with_firsts(pages), folder)
+    return complete(read_archives(files, split), files)
+
+
+def complete(records: DataFrame, files: DataFrame) -> DataFrame:
+    """The records, staged, if they are as many as the list of files says."""
+    staged = stage(records, "warc-records")
+    read, written = staged.count(), files.agg(F.sum("records")).first()[0] or 0
+    if read != written:
+        raise ValueError(f"{written} records were written, {read} were read")
+    return staged

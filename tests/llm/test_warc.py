@@ -1,4 +1,5 @@
 import gzip
+import random
 import zlib
 
 import pytest
@@ -6,11 +7,13 @@ import pytest
 from ringcast.llm.warc import (
     archive_round_trip,
     archives_under,
+    complete,
     read_archives,
     records_starting_in,
     with_firsts,
     write_archives,
 )
+from ringcast.session import shared_dir
 
 LONG = "<p>" + "é" * 60 + "</p>"
 SCHEMA = "page_id long, url string, html string, digest int, size string"
@@ -104,3 +107,24 @@ def test_changed_payload_is_noticed(tmp_path):
     path.write_bytes(gzip.compress(raw))
     with pytest.raises(ValueError):
         list(records_starting_in(str(path), 0, 10))
+
+
+def test_a_very_long_header_is_read(spark):
+    """Urls that fill more than a block of the file, hardly compressible ones among them."""
+    rng = random.Random(8)
+    noise = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=600_000))
+    rows = [(1, "http://x/" + "a" * 600_000, "<p>one</p>"), (2, f"http://x/{noise}", "<p>two</p>"), (3, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for split in (1 << 10, 16 << 20):
+        got = {r.page_id: r.url for r in archive_round_trip(pages, split).collect()}
+        assert got == {k: url for k, url, _ in rows}
+
+
+def test_a_lost_record_is_an_error(spark):
+    pages = spark.createDataFrame([(1, "u", "h"), (2, "v", "i")], "page_id long, url string, html string")
+    folder = f"{shared_dir(spark)}/warc-lost"
+    files = write_archives(with_firsts(pages), folder)
+    records = read_archives(files)
+    assert complete(records, files).count() == 2
+    with pytest.raises(ValueError, match="2 records were written, 1 were read"):
+        complete(records.where("page_id = 1"), files)
