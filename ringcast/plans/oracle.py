@@ -343,6 +343,28 @@ RECALL = "(count(*) filter (pred = 1 and target = 1))::double / (count(*) filter
 INNER = METRICS[:-3]
 
 
+# Shapley values in a tree of two features: the mean over both orders of what each adds
+TREE = """
+tree_rows as (
+  select a.account_number, a.mac, a.event_date, transitions, outage_count > 0 as o,
+    transitions > case when outage_count > 0 then 2 else 1 end as t, day(event_date) % 3 as y
+  from accessibility a join intermittency i using (mac, event_date)),
+leaves as (
+  select o, t, avg(y)::double as v, any_value(share) as share from (
+    select o, t, y, count(*) over (partition by o)::double / count(*) over () as share from tree_rows)
+  group by o, t),
+expected as (
+  select *, (avg(y) over ())::double as whole, (avg(y) over (partition by o))::double as branch,
+    (avg(y) over (partition by o, t))::double as leaf,
+    coalesce((select sum(share * v) from leaves where not o and t = (transitions > 1)), 0)
+      + coalesce((select sum(share * v) from leaves where o and t = (transitions > 2)), 0) as split
+  from tree_rows),
+explained as (
+  select *, (branch - whole + leaf - split) / 2::double as phi_o,
+    (split - whole + leaf - branch) / 2::double as phi_t
+  from expected)"""
+
+
 def model_queries(scoring_frame: str) -> dict[str, str]:
     """What holds of models however they are fitted, and the rows that whole jobs leave."""
     n = len(FEATURES)
@@ -364,23 +386,18 @@ def model_queries(scoring_frame: str) -> dict[str, str]:
         "local_contrib_sums": sql(
             "select account_number, event_date, category_name, true as same from test_rows",
             FRAME, SPLIT),
-        # the mean over two orders of what each feature adds to the expected value
+        "fidelity_facts": sql(
+            "select count(*) filter (f < 0.7::double) as n_fitted, "
+            "count(*) filter (f >= 0.7::double) as n_held_out, true as explains from "
+            "(select ('0x' || left(md5(concat_ws('|', '42', cast(account_number as varchar), "
+            "cast(event_date as varchar), category_name)), 8))::bigint / 4294967296::double as f "
+            "from test_rows)", FRAME, SPLIT),
         "tree_contrib_exact": sql(
-            "select account_number, mac, event_date, "
-            "round(0.5::double * (branch - whole + leaf - split), 9) as outage_count, "
-            "round(0.5::double * (split - whole + leaf - branch), 9) as transitions from ("
-            "select *, (avg(y) over ())::double as whole, (avg(y) over (partition by o))::double as branch, "
-            "(avg(y) over (partition by o, t))::double as leaf, "
-            "(select sum(share * v) from (select l.o, l.t, avg(l.y) as v, "
-            "(select count(*) from tree_rows c where c.o = l.o)::double "
-            "/ (select count(*) from tree_rows) as share from tree_rows l group by l.o, l.t) p "
-            "where p.t = (case when p.o then r.transitions > 2 else r.few end)) as split "
-            "from tree_rows r)",
-            "tree_rows as (select a.account_number, a.mac, a.event_date, transitions, "
-            "outage_count > 0 as o, transitions > 1 as few, "
-            "transitions > case when outage_count > 0 then 2 else 1 end as t, "
-            "day(event_date) % 3 as y from accessibility a join intermittency i "
-            "using (mac, event_date))"),
+            "select account_number, mac, event_date, round(phi_o, 9) as outage_count, "
+            "round(phi_t, 9) as transitions from explained", TREE),
+        "tree_global_exact": sql(
+            "select 'outage_count' as feature, round(avg(abs(phi_o)), 9) as mean_abs from explained "
+            "union all select 'transitions', round(avg(abs(phi_t)), 9) from explained", TREE),
         "importance_facts": f"select unnest(['model', 'surrogate']) as kind, {n + 1} as n_features, "
         "1.0::double as total",
         "local_contrib_exact": sql(
@@ -578,6 +595,15 @@ def oracle_queries() -> dict[str, str]:
             "select account_number, creation_time as event_date, count(*) as call_count_0 "
             "from support_cases group by 1, 2"),
     }
+    out["panel_bucketed"] = out["panel_inner"]
+    out["empty_batch_refused"] = sql(
+        "select event_date, not exists (select 1 from modem_days m where m.event_date = d.event_date) "
+        "as refused from (select distinct creation_time as event_date from support_cases) d")
+    out["unknown_stat_refused"] = (
+        "select distinct event_type as stat, true as refused from events union all "
+        "select unnest(['avg', 'var', 'kurtosis', 'sum', 'max']), false")
+    out["scoring_dates"] = sql(
+        "select distinct event_date, event_date as scored, 2 as lag from modem_days")
     out["kept_state_day"] = out["point_in_time_day"]
     totals = ", ".join(f"call_count_{n}" for n in HISTORY_DAYS)
     out["trailing_kept"] = sql(

@@ -21,7 +21,7 @@ from ringcast.plans.kept import KeptState
 from ringcast.plans.testdata import KEPT, RawTables
 from ringcast.session import shared_dir, stage
 from ringcast.sources import read as sources
-from ringcast.sources import publish, sinks, specs
+from ringcast.sources import bucketed, publish, sinks, specs
 from ringcast.streaming.refresh import batch_writer, on_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -204,15 +204,27 @@ def key_normalize(spark, sf):
 
 @query
 def panel_inner(spark, sf):
-    joined = panel.modem_panel(
+    return _inner(
         _read(spark, sf, specs.ACCESSIBILITY),
         _read(spark, sf, specs.SERVICE_QUALITY, "channel_number = 0"),
         _read(spark, sf, specs.ATTAINABILITY),
         _read(spark, sf, specs.INTERMITTENCY),
         _read(spark, sf, specs.USAGE_RANKED),
     )
+
+
+def _inner(*tables):
     names = ["account_number", "event_date", "mac", *METRICS[:-3]]
-    return rounded(joined.select(*names), [m for m in METRICS[:-3] if m not in INTEGERS])
+    joined = panel.modem_panel(*tables).select(*names)
+    return rounded(joined, [m for m in METRICS[:-3] if m not in INTEGERS])
+
+
+@query
+def panel_bucketed(spark, sf):
+    """The same from tables stored by modem and day."""
+    name, folder = f"modem_{uuid.uuid4().hex}", _fresh(spark, "bucketed")
+    stored = bucketed.bucketed_feeds(_feeds(spark, sf), name, folder, buckets=8)
+    return _inner(*[getattr(stored, t) for t in bucketed.MODEM_TABLES])
 
 
 # metrics that count something
@@ -636,6 +648,45 @@ def point_in_time_day(spark, sf):
     return rounded(point_in_time(_feeds(spark, sf), SCORING_DAY), CONTINUOUS)
 
 
+@query
+def empty_batch_refused(spark, sf):
+    """For every case day, whether the modem rows of that day are refused as an empty batch."""
+    rows = stage(_modem_days(spark, sf), "modem-days")
+    days = _cases(spark, sf).select("creation_time").distinct().collect()
+    found = []
+    for day in [r.creation_time for r in days]:
+        try:
+            quality.require_rows(dataset.on_day(rows, day), str(day))
+            found.append((day, False))
+        except ValueError:
+            found.append((day, True))
+    return spark.createDataFrame(found, "event_date date, refused boolean")
+
+
+@query
+def unknown_stat_refused(spark, sf):
+    """Which statistics are refused, of the known ones and the table's event types."""
+    events = RawTables(spark, sf).load("events").select("event_type").distinct().collect()
+    ranged = cut_ranges(_panel(spark, sf).select("account_number", "event_date", "mac", "outage_count"))
+    found = []
+    for name in [*[r.event_type for r in events], "avg", "var", "kurtosis", "sum", "max"]:
+        try:
+            rolling_stats(ranged, ["outage_count"], [name])
+            found.append((name, False))
+        except ValueError:
+            found.append((name, True))
+    return spark.createDataFrame(found, "stat string, refused boolean")
+
+
+@query
+def scoring_dates(spark, sf):
+    """The day that each day of the table stands for as a stamp, and the lag of "Today"."""
+    days = _modem_days(spark, sf).select("event_date").distinct().collect()
+    lag = (dt.date.today() - scalar.scoring_date("Today")).days
+    found = [(r.event_date, scalar.scoring_date(str(r.event_date)), lag) for r in days]
+    return spark.createDataFrame(found, "event_date date, scored date, lag int")
+
+
 @query
 def kept_state_day(spark, sf):
     """Features of a day from kept state that was moved on by two days."""
@@ -817,8 +868,35 @@ def local_contrib_sums(spark, sf):
     return table.select(*keys[:3], (F.abs(total - F.col("score")) < 1e-9).alias("same"))
 
 
+@query
+def global_explanation(spark, sf):
+    """Sizes of path contributions, the surrogate's importances, and its fidelity."""
+    trained = _train(spark, sf, "rf")
+    return explain.global_explanation(trained.scored, trained.model)
+
+
+@query
+def fidelity_facts(spark, sf):
+    """Rows a surrogate was fitted to and held out from, and whether it beats these rows' mean."""
+    trained = _train(spark, sf, "rf")
+    keys = ["account_number", "event_date", "category_name"]
+    found = explain.fidelity(trained.scored, models.feature_order(trained.model), keys)
+    return found.select("n_fitted", "n_held_out", ((F.col("r2") > 0) & (F.col("r2") <= 1)).alias("explains"))
+
+
+@query
+def tree_global_exact(spark, sf):
+    """Mean sizes of the contributions of ``tree_contrib_exact``."""
+    made = explain.mean_contributions(_tree_contributions(spark, sf), ["outage_count", "transitions"])
+    return rounded(made, ["mean_abs"], 9)
+
+
 @query
 def tree_contrib_exact(spark, sf):
+    return rounded(_tree_contributions(spark, sf), ["outage_count", "transitions"], 9)
+
+
+def _tree_contributions(spark, sf):
     """Contributions in a tree whose covers and leaves are counts and means of the table."""
     keys = ["mac", "event_date"]
     rows = (
@@ -843,7 +921,7 @@ def tree_contrib_exact(spark, sf):
     }
     features = ["outage_count", "transitions"]
     _, groups = group_paths([tree], [1.0])
-    return rounded(contributions(rows, features, groups, ["account_number", *keys]), features, 9)
+    return contributions(rows, features, groups, ["account_number", *keys])
 
 
 # --- whole jobs --------------------------------------------------------------
