@@ -595,6 +595,11 @@ def oracle_queries() -> dict[str, str]:
             "select account_number, creation_time as event_date, count(*) as call_count_0 "
             "from support_cases group by 1, 2"),
     }
+    out["days_refreshed"] = sql(
+        "select account_number, event_date, call_count_0, cast(sum(call_count_0) over ("
+        "partition by account_number order by event_date range between interval 10 days preceding "
+        "and interval 1 day preceding) as bigint) as call_count_10 from (select account_number, "
+        "creation_time as event_date, count(*) as call_count_0 from support_cases group by 1, 2)")
     out["panel_bucketed"] = out["panel_inner"]
     out["empty_batch_refused"] = sql(
         "select event_date, not exists (select 1 from modem_days m where m.event_date = d.event_date) "

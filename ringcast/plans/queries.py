@@ -22,7 +22,7 @@ from ringcast.plans.testdata import KEPT, RawTables
 from ringcast.session import shared_dir, stage
 from ringcast.sources import read as sources
 from ringcast.sources import bucketed, publish, sinks, specs
-from ringcast.streaming.refresh import batch_writer, on_new_files
+from ringcast.streaming.refresh import batch_writer, on_new_files, rebuild_days
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1051,3 +1051,23 @@ def new_file_refresh(spark, sf):
         .groupBy("account_number", "event_date")
         .agg(F.sum("call_count_0").alias("call_count_0"))
     )
+
+
+@query
+def days_refreshed(spark, sf):
+    """Case counts by day, kept up to date as files with rows of many days come in."""
+    landing, out, checkpoint = (_fresh(spark, n) for n in ("landing", "refreshed", "stream"))
+    files = _fresh(spark, "files")
+    cases = _cases(spark, sf).select("account_number", F.col("creation_time").alias("event_date"))
+    # late rows: each file holds some accounts of all days
+    cases.repartition(3, "account_number").write.parquet(files)
+
+    def trailing(landed: DataFrame, days: Sequence[dt.date]) -> DataFrame:
+        reach = landed.where(F.col("event_date").between(days[0] - dt.timedelta(10), days[-1]))
+        daily = counts.daily_counts(reach, day="event_date")
+        sums = counts.trailing_sums(daily, "call_count_0", [10], "call_count_")
+        return sums.where(F.col("event_date").isin(list(days)))
+
+    action = rebuild_days(landing, out, trailing, ahead=10)
+    on_new_files(spark, files, cases.schema, action, checkpoint, files_per_batch=1)
+    return spark.read.parquet(out).drop("DATE_PART")
