@@ -17,6 +17,9 @@ cut is divided once more, and only the documents of one such bin are ordered.
 Null and empty texts have size 0 and are never drawn.  Rows alike in key, source and
 size are numbered, each number a draw of its own.  A null key counts as a key.  An empty
 table gives an empty result.  Other columns are not read.
+
+What a document draws depends on its key and on one row of its source alone, so the mix
+itself is made where the texts are: only rows alike in key, source and size are shuffled.
 """
 
 from __future__ import annotations
@@ -162,31 +165,34 @@ def _with(sources: DataFrame, cut: DataFrame) -> DataFrame:
     return sources.join(cut, F.col("source").eqNullSafe(F.col("_at")), "left").drop("_at")
 
 
-def mix_sources(
+def _described(docs: DataFrame, key: str, text: str, source: str, *more: Column) -> DataFrame:
+    return docs.select(
+        F.col(f"`{key}`").alias(key),
+        F.col(f"`{source}`").cast("string").alias("source"),
+        word_count(F.col(f"`{text}`")).alias("size"),
+        *more,
+    )
+
+
+def _planned(
     docs: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    source: str = "source",
-    weights: Sequence[int] = WEIGHTS,
-    share: float = SHARE,
-    max_copies: int = MAX_COPIES,
-) -> DataFrame:
-    """For every row: key, source, size, source_size, target, copies and taken words.
+    key: str,
+    text: str,
+    source: str,
+    weights: Sequence[int],
+    share: float,
+    max_copies: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Sizes, one row per document, and sources with all that decides a draw.
 
     Sizes are counted once and staged, and so is the table of sources (one row each),
     whose size Spark then knows when it joins it.
     """
-    if key in ("source", "size", "copy"):
+    if key in ("source", "size", "copy", "rows", "row"):
         raise ValueError(f"the key column may not be called {key}")
-    counted = docs.select(
-        F.col(f"`{key}`").alias(key),
-        F.col(f"`{source}`").cast("string").alias("source"),
-        word_count(F.col(f"`{text}`")).alias("size"),
-    )
-    numbered = counted.groupBy(key, "source", "size").agg(F.count("*").alias("n"))
-    numbered = numbered.select(
-        key, "source", "size", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy")
-    )
+    counted = _described(docs, key, text, source)
+    numbered = counted.groupBy(key, "source", "size").agg(F.count("*").alias("rows"))
+    numbered = numbered.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows"))))
     sizes = stage(numbered, "mix-sizes")
 
     sources = stage(source_targets(sizes, weights, share, max_copies), "mix-targets")
@@ -211,7 +217,12 @@ def mix_sources(
         .agg(F.max(last).alias("edge"))
     )
     sources = stage(_with(sources, edge), "mix-edges")
+    return sizes, sources
+
 
+def _copies(sizes: DataFrame, sources: DataFrame, key: str) -> DataFrame:
+    """Adds the columns of the source and ``copies``, how often each document is taken."""
+    last = F.struct("rank", key, "size", "copy")
     drawn = (
         F.when(F.col("rank").isNull(), False)
         # no cut: nothing remains to be drawn
@@ -221,43 +232,90 @@ def mix_sources(
         .otherwise(F.coalesce(last <= F.col("edge"), F.lit(False)))
     )
     copies = F.col("whole") + drawn.cast("long")
-    return _ranked(sizes, sources, key).select(
+    return _ranked(sizes, sources, key).withColumn("copies", copies)
+
+
+def mix_sources(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: Sequence[int] = WEIGHTS,
+    share: float = SHARE,
+    max_copies: int = MAX_COPIES,
+) -> DataFrame:
+    """For every row: key, source, size, source_size, target, copies and taken words."""
+    sizes, sources = _planned(docs, key, text, source, weights, share, max_copies)
+    return _copies(sizes, sources, key).select(
         key,
         "source",
         "size",
         "source_size",
         "target",
-        copies.alias("copies"),
-        (copies * F.col("size")).alias("taken"),
+        "copies",
+        (F.col("copies") * F.col("size")).alias("taken"),
     )
 
 
-def mixed(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The mix itself: rows of ``docs`` as often as they are taken."""
-    text, source = options.get("text", "text"), options.get("source", "source")
-    chosen = (
-        mix_sources(docs, key, **options)
-        .groupBy(
-            F.col(key).alias("_mix_key"),
-            F.col("source").alias("_mix_source"),
-            F.col("size").alias("_mix_size"),
-        )
-        .agg(F.sum("copies").alias("_mix_copies"), F.count("*").alias("_mix_rows"))
-        .where("_mix_copies > 0")
+def mixed(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: Sequence[int] = WEIGHTS,
+    share: float = SHARE,
+    max_copies: int = MAX_COPIES,
+) -> DataFrame:
+    """The mix itself: rows of ``docs`` as often as they are taken.
+
+    Rows alike in key, source and size share their copies: what does not divide goes to
+    the first by the digest of the whole row.  Rows alike in all columns are one row with
+    a count before they are shuffled, and texts are in no window.
+    """
+    sizes, sources = _planned(docs, key, text, source, weights, share, max_copies)
+    alike = stage(
+        _copies(sizes.where("rows > 1"), sources, key)
+        .groupBy(F.col(key).alias("_key"), F.col("source").alias("_from"), F.col("size").alias("_size"))
+        .agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows")),
+        "mix-alike",
     )
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = _described(docs, key, text, source, whole.alias("row"), F.lit(1).alias("copy"))
     same = (
-        F.col(f"`{key}`").eqNullSafe(F.col("_mix_key"))
-        & F.col(f"`{source}`").cast("string").eqNullSafe(F.col("_mix_source"))
-        & (word_count(F.col(f"`{text}`")) == F.col("_mix_size"))
+        F.col(key).eqNullSafe(F.col("_key"))
+        & F.col("source").eqNullSafe(F.col("_from"))
+        & (F.col("size") == F.col("_size"))
+    )
+    alone = _copies(rows.join(alike, same, "left_anti"), sources, key).select("row", "copies")
+
+    group = ["_key", "_from", "_size", "_copies", "_rows"]
+    repeated = stage(
+        rows.join(alike, same)
+        .withColumn("digest", F.md5(F.to_json("row")))
+        .groupBy(*group, "digest")
+        .agg(F.first("row").alias("row"), F.count("*").alias("times")),
+        "mix-repeated",
+    )
+    before = Window.partitionBy("_key", "_from", "_size").orderBy("digest")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    places = repeated.select(*group, "digest", "times").withColumn(
+        "before", F.coalesce(F.sum("times").over(before), F.lit(0))
+    )
+    more = F.greatest(F.lit(0), F.least("times", F.col("_copies") % F.col("_rows") - F.col("before")))
+    own = (F.floor(F.col("_copies") / F.col("_rows")) * F.col("times") + more).cast("long")
+    places = places.select(
+        F.col("_key").alias("k"), F.col("_from").alias("f"), F.col("_size").alias("s"),
+        F.col("digest").alias("d"), own.alias("copies"),
+    )
+    here = (
+        F.col("_key").eqNullSafe(F.col("k"))
+        & F.col("_from").eqNullSafe(F.col("f"))
+        & (F.col("_size") == F.col("s"))
+        & (F.col("digest") == F.col("d"))
     )
-    # rows alike share their copies, the first of them taking what does not divide
-    order = Window.partitionBy("_mix_key", "_mix_source", "_mix_size").orderBy(F.col(f"`{text}`"))
-    total, rows = F.col("_mix_copies"), F.col("_mix_rows")
-    own = F.floor(total / rows) + (F.row_number().over(order) <= total % rows).cast("long")
+    taken = alone.unionByName(repeated.join(places, here).select("row", "copies"))
     return (
-        docs.join(chosen, same)
-        .withColumn("_mix_own", own)
-        .where("_mix_own > 0")
-        .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_own"))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        taken.where("copies > 0")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+        .select("row.*")
     )

@@ -48,6 +48,7 @@ SKETCH = 1 << 18
 CHANCES = 1 << 15  # rows of the table of random numbers
 TOGETHER = 4096  # shingles sampled at once
 ROWS_EACH = 100_000  # rows of a partition of links and labels
+FILTER_WORDS = 1 << 18  # of 64 bits each, in a filter of rows
 SEED = 20240101
 
 _chances: list[tuple[np.ndarray, ...]] = []
@@ -419,6 +420,35 @@ def _node(text: str) -> Column:
     return F.unhex(F.md5(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
 
 
+def _word_and_bit(*columns: Column) -> tuple[Column, Column]:
+    hashed = F.xxhash64(*[c.cast("string") for c in columns])
+    word = hashed.bitwiseAND(F.lit(FILTER_WORDS - 1).cast("long"))
+    return word, F.pmod(F.shiftright(hashed, 18), F.lit(64)).cast("int")
+
+
+def row_filter(chosen: DataFrame, *names: str) -> DataFrame:
+    """Bits of the hashes of chosen rows: ``FILTER_WORDS`` rows at most, whatever the input.
+
+    It rules rows out before texts are shuffled; what it lets pass is joined exactly, so
+    many chosen rows make it let more pass, and nothing else.
+    """
+    word, bit = _word_and_bit(*map(F.col, names))
+    bits = chosen.select(word.alias("_word"), bit.alias("_bit")).withColumn(
+        "_bit", F.expr("shiftleft(1L, _bit)")
+    )
+    return stage(bits.groupBy("_word").agg(F.bit_or("_bit").alias("_bits")), "dedup-filter")
+
+
+def with_maybe(rows: DataFrame, bits: DataFrame, *names: str) -> DataFrame:
+    """Adds ``_maybe``, false for rows that surely are not among those of the filter."""
+    word, bit = _word_and_bit(*map(F.col, names))
+    joined = rows.withColumns({"_at": word, "_bit": bit}).join(
+        F.broadcast(bits), F.col("_at") == F.col("_word"), "left"
+    )
+    maybe = F.coalesce(F.bit_get("_bits", F.col("_bit")) == 1, F.lit(False))
+    return joined.withColumn("_maybe", maybe).drop("_at", "_word", "_bit", "_bits")
+
+
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """For every row: key, ``node`` (the text's digest, null without words), ``class_id``
     and ``head``, the node whose text stands for the class."""
@@ -454,8 +484,10 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     wanted = stage(wanted.select(F.col("node").alias("wanted"), "least"), "dedup-wanted")
     # by node and key, so that a text of very many rows is not one key of the join
     one = (F.col("node") == F.col("wanted")) & F.col("key").eqNullSafe(F.col("least"))
+    bits = row_filter(wanted, "wanted", "least")
     texts = (
-        read.withColumn("node", _node("text"))
+        with_maybe(read.withColumn("node", _node("text")), bits, "node", "key")
+        .where("_maybe")
         .join(wanted, one)
         .select("node", "text")
         .dropDuplicates(["node"])
@@ -497,26 +529,42 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 
 def near_distinct(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``docs``, one of each class: the one with the least key."""
-    found = near_classes(docs, key, text)
-    kept = (
-        found.where(F.col("node").isNull() | (
-            (F.col("node") == F.col("head")) & F.col(key).eqNullSafe(F.col("class_id"))
-        ))
-        .select(F.col("node").alias("_kept_node"), F.col(key).alias("_kept_key"))
-        .distinct()
+    """Rows of ``docs``, one of each class: the one with the least key.
+
+    Of rows alike in key and text the first by their other columns stays.  Rows that are
+    neither dropped nor repeated pass without a shuffle of their texts.
+    """
+    found = stage(near_classes(docs, key, text).withColumnRenamed(key, "key"), "dedup-found")
+    stays = F.col("node").isNull() | (
+        (F.col("node") == F.col("head")) & F.col("key").eqNullSafe(F.col("class_id"))
+    )
+    kept = stage(
+        found.where(stays).groupBy("node", "key").agg(F.count("*").alias("n")), "dedup-kept"
     )
-    marked = docs.withColumn("_node", _node(text)).withColumn(
-        "_node", F.when(F.col(f"`{text}`").rlike(r"[^\x20\x09-\x0D]"), F.col("_node"))
+    doubtful = found.where(~stays).select("node", "key")
+    doubtful = doubtful.unionByName(kept.where("n > 1").select("node", "key"))
+    bits = row_filter(doubtful, "node", "key")
+
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    worded = F.col(f"`{text}`").rlike(r"[^\x20\x09-\x0D]")
+    rows = docs.select(
+        F.struct(*columns).alias("row"),
+        F.when(worded, _node(text)).alias("node"),
+        F.col(f"`{key}`").alias("key"),
     )
-    same = F.col("_node").eqNullSafe(F.col("_kept_node")) & F.col(f"`{key}`").eqNullSafe(
-        F.col("_kept_key")
+    rows = with_maybe(rows, bits, "node", "key")
+    kept = kept.select(F.col("node").alias("kept_node"), F.col("key").alias("kept_key"))
+    same = F.col("node").eqNullSafe(F.col("kept_node")) & F.col("key").eqNullSafe(
+        F.col("kept_key")
     )
-    joined = marked.join(kept, same)
-    single = Window.partitionBy("_kept_node", "_kept_key").orderBy(F.lit(0))
-    place = F.when(F.col("_kept_node").isNull(), 1).otherwise(F.row_number().over(single))
-    return (
-        joined.withColumn("_place", place)
-        .where("_place = 1")
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    others = F.struct(*[F.col("row")[n].alias(n) for n in docs.columns if n != text])
+    single = Window.partitionBy("node", "key").orderBy("others")
+    chosen = (
+        rows.where("_maybe")
+        .join(kept, same)
+        .withColumn("others", F.to_json(others))
+        .withColumn("place", F.row_number().over(single))
+        .where("place = 1")
     )
+    passed = rows.where("not _maybe").select("row.*")
+    return passed.unionByName(chosen.select("row.*"))
