@@ -7,7 +7,10 @@ from ringcast.llm import quality_rules as rules
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
-_stock = " or ".join(f"contains(lower(line), '{p}')" for p in rules.PHRASES)
+_stock = " or ".join(
+    "contains(lower(line), '{}')".format(p.replace("'", "''")) for p in rules.PHRASES
+)
+_closing = "".join("\\" + c if c in ")]}" else c for c in rules.CLOSING).replace("'", "''")
 
 QUALITY_RULES = rf"""
 with d as (
@@ -34,16 +37,28 @@ filled as (
   select *, row_number() over (partition by doc_id, line order by nr) > 1 as earlier,
     length(regexp_replace(line, '{SPACE}', '', 'g')) as chars,
     len(regexp_extract_all(line, '{WORD}')) as words,
-    length(line) - length(replace(line, '|', '')) as pipes,
+    len(regexp_extract_all(line, '[{rules.SEPARATORS}]')) as separators,
     len(regexp_extract_all(line, '[#*$%&<>]')) as symbols,
     length(line) - length(replace(line, '!', '')) as bangs
   from line
   where regexp_matches(line, '{WORD}')
 ),
+marked as (
+  select *, words <= {rules.MENU_WORDS}
+    and not regexp_matches(line, '[{_closing}]{SPACE[:-1]}*$') as bare
+  from filled
+),
+placed as (
+  select *, row_number() over (partition by doc_id order by nr)
+    - row_number() over (partition by doc_id, bare order by nr) as island
+  from marked
+),
 judged as (
   select *, 10 * symbols > chars or 10 * bangs > chars
-    or (pipes >= 2 and 4 * pipes >= words) or earlier or {_stock} as failed
-  from filled
+    or (separators >= 2 and 4 * separators >= words)
+    or (bare and count(*) over (partition by doc_id, bare, island) >= {rules.MENU_LINES})
+    or earlier or {_stock} as failed
+  from placed
 ),
 lines as (
   select doc_id, count(*) as n, count(*) filter (where failed) as n_failed,

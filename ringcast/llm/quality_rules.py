@@ -4,13 +4,17 @@ A line with a word fails a rule when
 
 * symbols: over a tenth of the characters in its words are of ``#*$%&<>``;
 * shouting: over a tenth of the characters in its words are exclamation marks;
-* navigation: it holds two ``|`` or more, one for every four words at least;
+* navigation: it holds two separators (``| > » › · •``) or more, one for every four words
+  at least;
+* menu: it is one of three or more lines in a row, lines without words passed over, that
+  have seven words at most and no closing punctuation;
 * boilerplate: it equals an earlier line of the text, or holds a stock phrase.
 
 A text is rejected if its failed lines hold more than ``max_lost`` of the characters
 of its words, or if it fails a rule on the whole text (fewer than 10 words, or a fifth
 of its words in repeated runs of five).  Null and empty texts have no words and are
-rejected; every row is judged alone, so repeated rows and ties need no rule.
+rejected; every row is judged alone, so repeated rows and ties need no rule.  Texts of any
+length are read whole, an empty table gives an empty result, and other columns are not read.
 """
 
 from __future__ import annotations
@@ -20,7 +24,8 @@ from pyspark.sql import DataFrame
 
 from ringcast.llm.texts import Texts, mix, over_texts
 
-#: Stock phrases of page furniture, in ASCII; matched in any case.
+#: Stock phrases of page furniture in English, French, German and Spanish, in ASCII and cut
+#: at accents; matched in any case.  Fixed values.
 PHRASES = (
     "all rights reserved",
     "accept cookies",
@@ -34,7 +39,32 @@ PHRASES = (
     "share on twitter",
     "subscribe to our newsletter",
     "skip to content",
+    "tous droits r",
+    "accepter les cookies",
+    "politique de confidentialit",
+    "conditions d'utilisation",
+    "cliquez ici",
+    "partager sur facebook",
+    "aller au contenu",
+    "alle rechte vorbehalten",
+    "cookies akzeptieren",
+    "datenschutzerkl",
+    "nutzungsbedingungen",
+    "hier klicken",
+    "auf facebook teilen",
+    "newsletter abonnieren",
+    "zum inhalt springen",
+    "todos los derechos reservados",
+    "aceptar cookies",
+    "aceptar las cookies",
+    "tica de privacidad",
+    "haga clic aqu",
+    "compartir en facebook",
+    "saltar al contenido",
 )
+SEPARATORS = "|>»›·•"
+CLOSING = ".!?:;,\"')]}…”’»。！？"
+MENU_WORDS, MENU_LINES = 7, 3
 MIN_WORDS, REPEAT_PERCENT, RUN = 10, 20, 5
 MAX_LOST = 0.3
 
@@ -87,6 +117,32 @@ def _stock_phrases(lowered: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.array(at, np.int64), np.array(length, np.int64)
 
 
+def _characters(data: np.ndarray, wanted: str) -> np.ndarray:
+    """Whether each byte is the last of one of the wanted characters."""
+    found = np.zeros(len(data), bool)
+    for raw in map(str.encode, wanted):
+        here = data == raw[-1]
+        for back in range(1, len(raw)):
+            here[back:] &= data[:-back] == raw[-1 - back]
+            here[:back] = False
+        found |= here
+    return found
+
+
+def in_menus(texts: Texts, words: np.ndarray) -> np.ndarray:
+    """Lines that are short, without closing punctuation and in a row of such lines."""
+    _, ends, owner = texts.lines
+    at = np.flatnonzero(words > 0)
+    last = texts.words[1][np.searchsorted(texts.words[0], ends[at]) - 1] - 1
+    bare = (words[at] <= MENU_WORDS) & ~_characters(texts.data, CLOSING)[last]
+    new = np.ones(len(at), bool)
+    new[1:] = (bare[1:] != bare[:-1]) | (owner[at][1:] != owner[at][:-1])
+    row = np.cumsum(new) - 1
+    out = np.zeros(len(words), bool)
+    out[at] = bare & (np.bincount(row)[row] >= MENU_LINES) if len(at) else False
+    return out
+
+
 def line_verdicts(texts: Texts) -> dict[str, np.ndarray]:
     """For each line: its span and text, characters in words, and the rules it fails."""
     starts, ends, owner = texts.lines
@@ -99,6 +155,7 @@ def line_verdicts(texts: Texts) -> dict[str, np.ndarray]:
 
     words, chars = count(begins), count(texts.points & ~texts.space)
     pipes = count(data == ord("|"))
+    separators = count(_characters(data, SEPARATORS))
     symbols = count(_SYMBOLS[data]) - pipes
     filled = words > 0
     earlier = np.zeros(len(starts), bool)
@@ -118,12 +175,13 @@ def line_verdicts(texts: Texts) -> dict[str, np.ndarray]:
         "duplicate": earlier,
         "symbols": filled & (10 * symbols > chars),
         "shouting": filled & (10 * count(data == ord("!")) > chars),
-        "navigation": (pipes >= 2) & (4 * pipes >= words),
+        "navigation": (separators >= 2) & (4 * separators >= words),
+        "menu": in_menus(texts, words),
         "boilerplate": earlier | stock,
     }
 
 
-RULES = ("symbols", "shouting", "navigation", "boilerplate")
+RULES = ("symbols", "shouting", "navigation", "menu", "boilerplate")
 
 
 def judge(texts: Texts, max_lost: float = MAX_LOST) -> list[np.ndarray]:

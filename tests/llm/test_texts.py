@@ -1,4 +1,5 @@
 import re
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -6,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ringcast.llm.quality_rules import judge, line_verdicts
+from ringcast.llm.quality_rules import CLOSING, judge, line_verdicts
 from ringcast.llm.texts import Texts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -76,15 +77,52 @@ def test_counts_match_brute_force(rows):
         ("THE!! ONE!! AND!! ONLY!!", "shouting"),
         ("Home | News | Sport | Weather", "navigation"),
         ("Copyright by us, all RIGHTS reserved", "boilerplate"),
+        ("Home » News » Sport", "navigation"),
+        ("Accueil · Actualités · Sport · Météo", "navigation"),
+        ("Tous droits réservés par nous.", "boilerplate"),
+        ("Hier stehen unsere Nutzungsbedingungen.", "boilerplate"),
+        ("Lea la política de privacidad.", "boilerplate"),
         ("A plain line of words, and no more!", None),
+        ("A heading", None),
     ],
 )
 def test_line_rules(line, rule):
-    found = line_verdicts(of(["first line\n" + line]))
-    names = ["symbols", "shouting", "navigation", "boilerplate"]
+    found = line_verdicts(of(["A first line.\n" + line]))
+    names = ["symbols", "shouting", "navigation", "menu", "boilerplate"]
     assert [n for n in names if found[n][1]] == ([rule] if rule else [])
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="a. …»é\n\t", max_size=60)), min_size=1, max_size=8))
+def test_menus_match_brute_force(rows):
+    got = line_verdicts(of(rows))["menu"].tolist()
+    wanted = []
+    for r in rows:
+        lines = (r or "").split("\n")
+        bare = [len(WORD.findall(x)) <= 7 and WORD.findall(x)[-1][-1] not in CLOSING
+                for x in lines if WORD.search(x)]
+        menu = []
+        for flag, run in groupby(bare):
+            n = len(list(run))
+            menu += [flag and n >= 3] * n
+        left = iter(menu)
+        wanted += [next(left) if WORD.search(x) else False for x in lines]
+    assert got == wanted
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["\n".join(f"Menu item {i}" for i in range(30)),
+     "\n".join(f"five words and no stop{i}" for i in range(30)),
+     "\n".join(["Tous droits réservés", "Cliquez ici pour lire", "Politique de confidentialité",
+                "Accepter les cookies", "Conditions d'utilisation", "Partager sur Facebook"]),
+     "\n".join(["Alle Rechte vorbehalten", "Hier klicken bitte", "Datenschutzerklärung",
+                "Cookies akzeptieren", "Nutzungsbedingungen lesen", "Newsletter abonnieren"])],
+)
+def test_page_furniture_is_rejected(text):
+    assert not judge(of([text]))[-1][0]
+
+
 def test_rejects_texts_that_lose_much():
     plain = " ".join(f"word{i}" for i in range(40))
     bad = " | ".join(f"menu{i}" for i in range(40))
