@@ -16,6 +16,7 @@ from ringcast.llm.queries import QUERIES
 from ringcast.llm.tables import held_out
 from ringcast.llm.texts import Texts
 from ringcast.llm.toxicity import (
+    CharacterModel,
     fit_toxicity,
     lattice_of,
     restore,
@@ -185,6 +186,22 @@ def test_restored_words(spark, labelled, written, plain):
     assert restore(written, model.characters) == plain
 
 
+@pytest.mark.parametrize(
+    "written, plain",
+    [("1diot", "idiot"), ("!diot", "idiot"), ("|diot", "idiot"), ("1d10t", "idiot"), ("!d!0t", "idiot"),
+     ("7rash", "trash"), ("+rash", "trash"), ("$tupid", "stupid"), ("1oser", "loser"),
+     ("i...d...i...o...t", "idiot"), ("\u0456diot", "idiot"), ("id\u200biot", "idiot")],
+)
+def test_first_letters_and_hidden_ones(spark, labelled, written, plain):
+    assert restore(written, _toxic(labelled).characters) == plain
+
+
+def test_marks_before_plain_words_are_no_letters(spark):
+    known = CharacterModel({"  r": 5, " ra": 5, "rap": 5, "ap ": 5, "  c": 5, " cr": 5, "cra": 5},
+                           words=frozenset({"rap", "crap"}))
+    assert restore("(rap)", known) == "rap"
+
+
 def test_words_set_apart(spark, labelled):
     model = _toxic(labelled)
     got = restored_text("you are an i d i o t and a c-l-o-w-n here", model.characters)
