@@ -261,7 +261,8 @@ def train_languages(
         raise ValueError(f"learning rows need 1 to {MAX_LANGUAGES} languages")
     rows = known.where(F.col(text).rlike(r"\p{L}"))
     chosen = sample_per_class(rows.select(key, lang), key, lang, per_language, languages)
-    some = docs.select(key, text).join(F.broadcast(chosen), key).dropDuplicates([key])
+    some = docs.select(key, text).join(F.broadcast(chosen), key)
+    some = some.groupBy(key, "label").agg(F.min(text).alias(text))  # a key may have two texts
     got = over_texts(
         some, [key, "label"], "windows binary, sizes array<bigint>", lambda _, t: _windows(t), text
     ).collect()

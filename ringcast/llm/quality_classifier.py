@@ -203,7 +203,10 @@ def fit_quality(
     there = labels.join(docs.select(key).distinct(), key)
     chosen = sample_per_class(there, key, label, per_class, [0, 1])
     read = [key, text] + [n_chars] * (n_chars is not None)
-    some = docs.select(*read).join(F.broadcast(chosen), key).dropDuplicates([key])
+    some = docs.select(*read).join(F.broadcast(chosen), key)
+    # a key may have two texts; the least teaches
+    some = some.groupBy(key, "label").agg(F.min(F.struct(*read[1:])).alias("_least"))
+    some = some.select(key, "label", "_least.*")
 
     def compute(part, texts):
         index, value, of = features(texts, _recorded(part, n_chars))
