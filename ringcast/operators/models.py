@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -118,31 +120,53 @@ def fit_stack(
     folds: int = FOLDS,
     seed: int = 42,
     params: dict[str, dict] | None = None,
+    together: int = 8,
 ) -> StackedModel:
     """Logistic regression over out-of-fold scores of a forest and boosted trees.
 
-    A row's fold comes from its key's hash, so it is the same on every pass.
+    A row's fold comes from its key's hash, so it is the same on every pass.  Features are
+    assembled once, into one staged table of vectors; the fits of all folds and of the
+    whole read it side by side, ``together`` at a time.  Folds that have no rows, or hold
+    all of them, are left out; without any other the stack cannot be fitted.  Forests draw
+    rows by where they lie, so those of two runs over one table may differ.
     """
     params = params or {}
-    features = feature_columns(df, NOT_FEATURES)
-    folded = stage(
-        df.withColumn("_fold", F.floor(hash_fraction(keys, seed) * folds).cast("int")), "folds"
+    assembler = VectorAssembler(
+        inputCols=feature_columns(df, NOT_FEATURES), outputCol="features"
     )
+    fold = F.floor(hash_fraction(keys, seed) * folds).cast("int")
+    vectors = stage(
+        assembler.transform(df.withColumn("_fold", fold)).select("_fold", label, "features"),
+        "vectors",
+    )
+    sizes = dict(vectors.groupBy("_fold").count().collect())
+    used = sorted(f for f, n in sizes.items() if n < sum(sizes.values()))
+    if not used:
+        raise ValueError("a stack needs rows in two folds at least")
+
+    def fitted(job):
+        kind, left_out = job
+        rows = vectors if left_out is None else vectors.where(F.col("_fold") != left_out)
+        return _estimator(kind, label, seed, **params.get(kind, {})).fit(rows)
+
+    # boosted trees take longest, so they begin first
+    jobs = [(kind, f) for kind in ("gbt", "rf") for f in (None, *used)]
+    with ThreadPool(min(together, len(jobs))) as pool:
+        done = pool.map(inheritable_thread_target(df.sparkSession)(fitted), jobs, chunksize=1)
+    made = dict(zip(jobs, done, strict=True))
+
     parts = []
-    for fold in range(folds):
-        rest = folded.where(F.col("_fold") != fold)
-        held = folded.where(F.col("_fold") == fold)
+    for f in used:
+        held = vectors.where(F.col("_fold") == f).select(label, "features")
         for kind in ("rf", "gbt"):
-            model = fit(rest, kind, label, features, seed, **params.get(kind, {}))
-            held = score(held, model).drop("pred").withColumnRenamed("score", f"_{kind}")
+            held = made[kind, f].transform(held).select(
+                *held.columns, vector_to_array("probability")[1].alias(f"_{kind}")
+            )
         parts.append(held.select(label, "_rf", "_gbt"))
     out_of_fold = stage(reduce(DataFrame.unionByName, parts), "out-of-fold")
     meta = VectorAssembler(inputCols=["_rf", "_gbt"], outputCol="features").transform(out_of_fold)
     final = LogisticRegression(labelCol=label).fit(meta)
-    bases = {
-        kind: fit(folded, kind, label, features, seed, **params.get(kind, {}))
-        for kind in ("rf", "gbt")
-    }
+    bases = {kind: PipelineModel([assembler, made[kind, None]]) for kind in ("rf", "gbt")}
     return StackedModel(bases, final)
 
 

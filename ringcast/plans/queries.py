@@ -725,12 +725,10 @@ def testing_set(spark, sf):
 
 # --- models (rows only: fitted values differ between libraries) --------------
 
-SMALL = {"rf": {"numTrees": 20, "maxDepth": 6}, "gbt": {"maxIter": 10, "maxDepth": 3}}
-
 
 def _train(spark, sf, kind) -> training.Trained:
     train_df, test_df = _dataset(spark, sf)
-    return training.train(train_df, test_df, [kind], (*TRAIN, *TEST), "zero", params=SMALL | {"stack": SMALL})[kind]
+    return training.train(train_df, test_df, [kind], (*TRAIN, *TEST), "zero")[kind]
 
 
 @query
@@ -761,7 +759,7 @@ def importances(spark, sf):
 @query
 def global_surrogate(spark, sf):
     trained = _train(spark, sf, "rf")
-    return explain.global_surrogate(trained.scored, models.feature_order(trained.model), maxIter=5)
+    return explain.global_surrogate(trained.scored, models.feature_order(trained.model))
 
 
 @query
@@ -774,7 +772,7 @@ def local_contrib(spark, sf):
 def saved_model_score(spark, sf):
     """A model saved under a dated name, loaded and applied."""
     train_df, test_df = _dataset(spark, sf)
-    fitted = models.fit(dataset.fill_zero(train_df), "rf", **SMALL["rf"])
+    fitted = models.fit(dataset.fill_zero(train_df), "rf")
     path = sinks.save_model(fitted, _fresh(spark, "models"), "rf", dt.date(2024, 2, 1))
     return models.score(test_df, sinks.load_model(path))
 
@@ -812,7 +810,7 @@ def saved_model_agrees(spark, sf):
     """Scores of a model saved and loaded, next to those of the model itself."""
     train_df, test_df = _dataset(spark, sf)
     test_df = stage(test_df, "saved-test")
-    fitted = models.fit(dataset.fill_zero(train_df), "rf", **SMALL["rf"])
+    fitted = models.fit(dataset.fill_zero(train_df), "rf")
     path = sinks.save_model(fitted, _fresh(spark, "models"), "rf", dt.date(2024, 2, 1))
     keys = ["account_number", "event_date", "category_name"]
     scored = [
@@ -932,7 +930,7 @@ def inference_job(spark, sf):
     """Rows of the archives that a scoring run leaves: features, scores, explanations."""
     out = _fresh(spark, "inference")
     train_df, _ = _dataset(spark, sf)
-    model = models.fit(dataset.fill_zero(train_df), "rf", **SMALL["rf"])
+    model = models.fit(dataset.fill_zero(train_df), "rf")
     inference.run_inference(spark, _feeds(spark, sf), model, out, SCORING_DAY)
     found = []
     for name in ("features", "scores", "explanations"):
@@ -963,9 +961,7 @@ def training_job(spark, sf):
     """What a training run leaves: profile, record of scores, surrogate."""
     out, day = _fresh(spark, "training"), dt.date(2024, 2, 1)
     train_df, test_df = _dataset(spark, sf)
-    training.train(
-        train_df, test_df, ["rf"], (*TRAIN, *TEST), "zero", out, day, SMALL
-    )
+    training.train(train_df, test_df, ["rf"], (*TRAIN, *TEST), "zero", out, day)
     profile = spark.read.parquet(f"{out}/profile").select(
         F.concat_ws(" ", F.lit("profile"), "dataset", "target").alias("fact"),
         F.col("n_rows").cast("long").alias("n"),

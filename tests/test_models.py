@@ -46,6 +46,20 @@ def test_stack(data, tmp_path):
     )
 
 
+def test_boosted_trees_of_a_stack_do_not_depend_on_what_runs_beside_them(data):
+    pick = ["account_number", "score"]
+    one, more = (
+        dict(models.score(data, models.fit_stack(data, folds=2, params=SMALL, together=n).bases["gbt"]).select(pick).collect())
+        for n in (1, 6)
+    )
+    assert one == pytest.approx(more, abs=1e-9)
+
+
+def test_stack_needs_two_folds(data):
+    with pytest.raises(ValueError, match="two folds"):
+        models.fit_stack(data, folds=1, params=SMALL)
+
+
 def test_null_features_score_as_zero(data):
     model = models.fit(data, "rf", **SMALL["rf"])
     blank = data.withColumn("beta", F.lit(None).cast("double"))
