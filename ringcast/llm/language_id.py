@@ -12,6 +12,13 @@ over each text; its only input is text.  Rows whose language is null, or differs
 rows of one key, teach nothing.  A text that is null or has no letter gets ``und`` and
 score 0.  Every row is labelled alone, so repeated rows agree; an empty table gives an
 empty result, and learning rows without a language raise ValueError.
+
+With ``strange`` the network has one class more, for text in none of the languages.  It
+learns that class from its own windows made strange: letters exchanged by a secret
+alphabet, drawn at random or shuffled, and random letters of other scripts.  Half of the
+chosen rows teach and the other half sets the bar: the share of the strange class that
+``KEPT_ASIDE`` of them stay under, at least ``LEAST_BAR``.  Text above it gets ``und`` and
+score 0.
 """
 
 from __future__ import annotations
@@ -30,6 +37,14 @@ SPAN, UNITS, WINDOWS = 64, 8, 8
 PER_LANGUAGE, MAX_LANGUAGES = 250, 1000
 UNDETERMINED = "und"
 TOGETHER = 2048  # windows worked on at once
+KEPT_ASIDE, LEAST_BAR = 0.99, 0.5
+VOWELS = np.frombuffer(b"aeiou", np.uint8)
+CONSONANTS = np.setdiff1d(np.arange(97, 123, dtype=np.uint8), VOWELS)
+# first code points of other scripts, and how many letters are drawn from there on
+SCRIPTS = {
+    0x0370: 60, 0x0430: 60, 0x0590: 60, 0x0620: 60, 0x0900: 60, 0x0E00: 60,
+    0x3040: 180, 0x4E00: 3000, 0xAC00: 3000,
+}
 
 
 def lowered(data: np.ndarray) -> np.ndarray:
@@ -42,6 +57,39 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def _other_script(size: int, random) -> np.ndarray:
+    """``size`` bytes of random words in a random script."""
+    first = int(random.choice(list(SCRIPTS)))
+    codes = first + random.integers(0, SCRIPTS[first], size)
+    ends = random.random(size) < 0.2
+    text = "".join(chr(c) + " " * e for c, e in zip(codes.tolist(), ends.tolist(), strict=True))
+    return np.frombuffer(text.encode()[:size], np.uint8)
+
+
+def made_strange(windows: np.ndarray, sizes: np.ndarray, random) -> np.ndarray:
+    """Windows of the same sizes in no language; few or no letters may leave one as it is.
+
+    Letters are a to z, and, for other alphabets, the later bytes of long characters.
+    """
+    out = windows.copy()
+    small, later = np.arange(97, 123, dtype=np.uint8), np.arange(128, 192, dtype=np.uint8)
+    for row, size, way in zip(out, sizes.tolist(), random.integers(0, 4, len(out)), strict=True):
+        row = row[:size]
+        if way == 3:
+            row[:] = _other_script(size, random)
+            continue
+        if way == 0:
+            secret = np.arange(256, dtype=np.uint8)
+            for kind in (VOWELS, CONSONANTS, later):
+                secret[kind] = random.permutation(kind)
+            row[:] = secret[row]
+            continue
+        for kind in (small, later):
+            at = np.flatnonzero((row >= kind[0]) & (row <= kind[-1]))
+            row[at] = random.choice(kind, len(at)) if way == 1 else random.permutation(row[at])
+    return out
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
@@ -120,8 +168,9 @@ class ByteNetwork:
     languages: list[str]
     ahead: Direction
     behind: Direction
-    read_out: np.ndarray  # languages x 2 UNITS
-    bias: np.ndarray  # languages x 1
+    read_out: np.ndarray  # languages x 2 UNITS, and a last row for strange text if learned
+    bias: np.ndarray  # languages x 1, likewise
+    bar: float = 1.0  # text is in a language if the share of the strange class is not above
 
     def parameters(self) -> list[np.ndarray]:
         a, b = self.ahead, self.behind
@@ -149,10 +198,17 @@ class ByteNetwork:
     def train(
         cls, windows: np.ndarray, sizes: np.ndarray, labels: np.ndarray, languages: list[str],
         steps: int = 260, batch: int = 128, rate: float = 0.02, seed: int = 5,
+        strange: bool = False,
     ) -> ByteNetwork:
         """Adam on the mean cross entropy of all bytes; each batch has all languages."""
         random = np.random.default_rng(seed)
-        n = len(languages)
+        n = len(languages) + strange
+        if strange:
+            other = made_strange(windows, sizes, random)
+            differs = (other != windows).any(1)
+            windows = np.concatenate([windows, other[differs]])
+            sizes = np.concatenate([sizes, sizes[differs]])
+            labels = np.concatenate([labels, np.full(differs.sum(), n - 1)])
         net = cls(
             languages,
             Direction.random(random),
@@ -211,8 +267,8 @@ class ByteNetwork:
             visit(of[some], begins[some], inside, self.probabilities(x, inside)[0])
 
     def pooled(self, texts: Texts) -> np.ndarray:
-        """Mean probabilities of each text, text x language; 0 for empty ones."""
-        total = np.zeros((len(texts), len(self.languages)))
+        """Mean probabilities of each text, text x class; 0 for empty ones."""
+        total = np.zeros((len(texts), len(self.bias)))
 
         def visit(of, _, inside, p):
             np.add.at(total, of, (p if inside is None else p * inside).sum(0).T)
@@ -221,7 +277,7 @@ class ByteNetwork:
         return total / np.maximum(np.diff(texts.offsets), 1)[:, None]
 
     def labels(self, texts: Texts) -> np.ndarray:
-        """The likeliest language of each byte of the texts, by number."""
+        """The likeliest class of each byte of the texts, by number."""
         out = np.zeros(len(texts.data), np.int64)
 
         def visit(_, begins, inside, p):
@@ -252,15 +308,20 @@ def train_languages(
     key: str = "doc_id",
     text: str = "text",
     per_language: int = PER_LANGUAGE,
+    strange: bool = False,
 ) -> ByteNetwork:
-    """Trains on ``docs``; the driver gets WINDOWS short windows of the chosen rows."""
+    """Trains on ``docs``; the driver gets WINDOWS short windows of the chosen rows.
+
+    With ``strange`` twice as many rows are chosen, and every other one sets the bar.
+    """
     known = docs.where(F.col(lang).isNotNull() & (F.col(lang) != UNDETERMINED))
     found = known.select(lang).distinct().limit(MAX_LANGUAGES + 1).collect()
     languages = sorted(r[0] for r in found)
     if not 0 < len(languages) <= MAX_LANGUAGES:
         raise ValueError(f"learning rows need 1 to {MAX_LANGUAGES} languages")
     rows = known.where(F.col(text).rlike(r"\p{L}"))
-    chosen = sample_per_class(rows.select(key, lang), key, lang, per_language, languages)
+    each = per_language * (1 + strange)
+    chosen = sample_per_class(rows.select(key, lang), key, lang, each, languages)
     some = docs.select(key, text).join(F.broadcast(chosen), key)
     some = some.groupBy(key, "label").agg(F.min(text).alias(text))  # a key may have two texts
     got = over_texts(
@@ -270,10 +331,28 @@ def train_languages(
     if not got:
         raise ValueError("learning rows need texts with letters")
     number = {name: i for i, name in enumerate(languages)}
+    aside = []
+    if strange:
+        by_language = [[r for r in got if r.label == name] for name in languages]
+        got = [r for rows in by_language for r in rows[::2]]
+        aside = [r for rows in by_language for r in rows[1::2]]
     windows = np.frombuffer(b"".join(r.windows for r in got), np.uint8).reshape(-1, SPAN)
     sizes = np.array([s for r in got for s in r.sizes])
     labels = np.array([number[r.label] for r in got for _ in r.sizes])
-    return ByteNetwork.train(windows, sizes, labels, languages)
+    net = ByteNetwork.train(windows, sizes, labels, languages, strange=strange)
+    if strange:
+        found = net.pooled(_joined(aside))[:, -1]
+        net.bar = max(LEAST_BAR, float(np.quantile(found, KEPT_ASIDE))) if len(found) else LEAST_BAR
+    return net
+
+
+def _joined(rows: list) -> Texts:
+    """The windows of each row, one after the other, as its text."""
+    parts = [
+        b"".join(r.windows[SPAN * i : SPAN * i + n] for i, n in enumerate(r.sizes)) for r in rows
+    ]
+    ends = np.cumsum([0, *map(len, parts)])
+    return Texts(np.frombuffer(b"".join(parts), np.uint8), ends)
 
 
 def identify_languages(
@@ -283,13 +362,14 @@ def identify_languages(
     shared = docs.sparkSession.sparkContext.broadcast(net)  # a few thousand numbers
 
     def compute(part, texts):
-        pooled = shared.value.pooled(texts)
-        best = pooled.argmax(1)
-        letters = part.column("_has_letter").to_pylist()
         names = shared.value.languages
+        pooled = shared.value.pooled(texts)
+        best = pooled[:, : len(names)].argmax(1)
+        known = np.array(part.column("_has_letter").to_pylist(), bool)
+        known &= pooled[:, len(names) :].sum(1) <= shared.value.bar
         return [
-            [names[b] if ok else UNDETERMINED for b, ok in zip(best, letters, strict=True)],
-            np.where(letters, np.clip(pooled[np.arange(len(best)), best], 0, 1), 0.0),
+            [names[b] if ok else UNDETERMINED for b, ok in zip(best, known, strict=True)],
+            np.where(known, np.clip(pooled[np.arange(len(best)), best], 0, 1), 0.0),
         ]
 
     letter = F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False))
@@ -319,7 +399,7 @@ def language_spans(
         of = texts.owner(starts)
         at = np.searchsorted(of, np.arange(1, len(texts)))
         base = texts.offsets[of]
-        names = np.array(shared.value.languages, object)[labels[starts]]
+        names = np.array([*shared.value.languages, UNDETERMINED], object)[labels[starts]]
         return [
             [x.tolist() for x in np.split(starts - base, at)],
             [x.tolist() for x in np.split(ends - base, at)],

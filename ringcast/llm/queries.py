@@ -37,8 +37,8 @@ def op1_near_dedup(spark, sf_dir):
     return near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
-def language_network(docs):
-    return train_languages(docs.where(~held_out(F.col("doc_id"), 3, 1)))
+def language_network(docs, strange=False):
+    return train_languages(docs.where(~held_out(F.col("doc_id"), 3, 1)), strange=strange)
 
 
 @query
