@@ -20,8 +20,6 @@ from ringcast.llm.queries import language_network, quality_model
 from ringcast.llm.tables import table
 from ringcast.session import stage
 
-MIN_LANGUAGE_SCORE = 0.3
-
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; an empty table stays empty."""
@@ -33,12 +31,16 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages; an empty table stays empty."""
+    """Documents in one of the learned languages; an empty table stays empty.
+
+    Letter noise and languages that were not learned go, by a bar that the network takes
+    from learning rows kept aside.
+    """
     if docs.isEmpty():
         return docs
-    found = identify_languages(docs, language_network(docs), docs.columns, prefix="_")
-    known = (F.col("_lang_pred") != UNDETERMINED) & (F.col("_score") >= MIN_LANGUAGE_SCORE)
-    return found.where(known).select(docs.columns)
+    network = language_network(docs, strange=True)
+    found = identify_languages(docs, network, docs.columns, prefix="_")
+    return found.where(F.col("_lang_pred") != UNDETERMINED).select(docs.columns)
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
