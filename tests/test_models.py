@@ -112,3 +112,9 @@ def test_local_contributions_match_least_squares(data):
     for row in table.collect():
         got = np.array([row[n] for n in names])
         assert np.allclose(got, want[row.account_number], atol=1e-4)
+
+
+def test_forests_keep_the_node_of_each_row():
+    forest = models._estimator("rf", "target", 42)
+    assert forest.getCacheNodeIds()
+    assert (forest.getNumTrees(), forest.getMaxDepth()) == (100, 20)
