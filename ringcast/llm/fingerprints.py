@@ -45,7 +45,10 @@ def _least_of(runs: Column, w: int) -> Column:
 
 def winnow(text: Column, k: int = K, w: int = WINDOW) -> Column:
     """Chosen hashes of a text with their positions, in order, as numbers."""
+    return _winnow_bytes(F.coalesce(text, F.lit("")).cast("binary"), k, w)
 
+
+def _winnow_bytes(raw: Column, k: int, w: int) -> Column:
     def run_hash(raw, i):
         kept = F.xxhash64(F.substring(raw, i, F.lit(k))).bitwiseAND((1 << HASH_BITS) - 1)
         return F.shiftleft(kept, PLACE_BITS).bitwiseOR(F.lit(_TOP).cast("long") - i)
@@ -59,7 +62,42 @@ def winnow(text: Column, k: int = K, w: int = WINDOW) -> Column:
             .otherwise(F.array().cast("array<bigint>"))
         )
 
-    return _let(F.coalesce(text, F.lit("")).cast("binary"), of_bytes)
+    return _let(raw, of_bytes)
+
+
+def _place(chosen: Column) -> Column:
+    """First byte, from 1, of a chosen run."""
+    return F.lit(_TOP) - chosen.bitwiseAND(_TOP)
+
+
+def winnow_joined(
+    a: Column, chosen_a: Column, b: Column, chosen_b: Column, k: int = K, w: int = WINDOW
+) -> Column:
+    """Chosen hashes of ``a`` and ``b`` joined, without positions, in order of appearance.
+
+    ``a`` and ``b`` are beginnings of texts whose ``winnow`` is ``chosen_a`` and
+    ``chosen_b``.  Windows inside one of them choose what they choose in its text; as places
+    never go back from one window to the next, that is all up to the choice of the last
+    such window.  Only windows over the border are worked out, and short parts whole.
+    """
+    span = k + w - 1  # bytes of a window
+    raw_a, raw_b = a.cast("binary"), b.cast("binary")
+    size_a, size_b = F.octet_length(raw_a), F.octet_length(raw_b)
+
+    def inside(raw, size, chosen):
+        last = F.element_at(_winnow_bytes(F.substring(raw, size - (span - 1), F.lit(span)), k, w), 1)
+        bound = _place(last) + (size - span)
+        return _let(bound, lambda until: F.filter(chosen, lambda x: _place(x) <= until))
+
+    over = F.concat(
+        F.substring(raw_a, size_a - (span - 2), F.lit(span - 1)),
+        F.substring(raw_b, F.lit(1), F.lit(span - 1)),
+    )
+    parts = F.concat(
+        inside(raw_a, size_a, chosen_a), _winnow_bytes(over, k, w), inside(raw_b, size_b, chosen_b)
+    )
+    long = (size_a >= span) & (size_b >= span) & (size_a + size_b <= _TOP)
+    return chosen_hashes(F.when(long, parts).otherwise(_winnow_bytes(F.concat(raw_a, raw_b), k, w)))
 
 
 def chosen_hashes(chosen: Column) -> Column:
@@ -176,14 +214,21 @@ def compare_edited(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     following = F.coalesce(F.col("next_text"), F.lit(""))
     n = F.char_length(own)
     half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.substring(own, F.lit(1), n - half), F.substring(following, F.lit(1), half))
+    kept, taken = F.substring(own, F.lit(1), n - half), F.substring(following, F.lit(1), half)
     follows = Window.partitionBy("bucket").orderBy("guest", "k", "text")
     return (
-        rows.withColumn("own", chosen_hashes(winnow(F.col("text"))))
-        .withColumn("next", F.lead("own").over(follows))
+        rows.withColumn("chosen", winnow(F.col("text")))
+        .withColumn("next_chosen", F.lead("chosen").over(follows))
         .where("guest = 0")
-        .withColumn("edited", edited)
-        .withColumn("hashes", chosen_hashes(winnow(F.col("edited"))))
+        .withColumns({"kept": kept, "taken": taken})
+        .withColumns({
+            "own": chosen_hashes(F.col("chosen")),
+            "next": chosen_hashes(F.col("next_chosen")),
+            "hashes": winnow_joined(
+                F.col("kept"), F.col("chosen"), F.col("taken"), F.col("next_chosen")
+            ),
+            "edited": F.concat("kept", "taken"),
+        })
         .select(
             F.col("key").alias(key),
             n.cast("long").alias("n_chars"),

@@ -120,3 +120,25 @@ def test_equal_texts_have_equal_fingerprints(spark):
     for r in compare_edited(docs).join(docs, "doc_id").collect():
         assert prints.setdefault(r.text, r.fingerprint) == r.fingerprint
     assert len(set(prints.values())) == len(prints)
+
+
+def test_joined_beginnings_choose_what_the_whole_text_chooses(spark):
+    import random
+
+    from ringcast.llm.fingerprints import chosen_hashes, winnow, winnow_joined
+
+    pick = random.Random(4)
+    rows = []
+    for size in [0, 1, 8, 15, 16, 17, 30, 31, 90, 400]:
+        for letters in ("ab", "abcdefgh é€", "a"):
+            a, b = ("".join(pick.choices(letters, k=pick.choice([size, 16, 40]))) for _ in "ab")
+            rows.append((a, b, pick.randint(0, len(a)), pick.randint(0, len(b))))
+            rows.append((a, b, len(a), len(b)))
+    df = spark.createDataFrame(rows, "a string, b string, n int, m int").selectExpr(
+        "*", "substring(a, 1, n) as x", "substring(b, 1, m) as y"
+    )
+    got = df.select(
+        winnow_joined(F.col("x"), winnow(F.col("a")), F.col("y"), winnow(F.col("b"))).alias("got"),
+        chosen_hashes(winnow(F.concat("x", "y"))).alias("wanted"),
+    )
+    assert all(r.got == r.wanted for r in got.collect())
