@@ -13,9 +13,9 @@ that look like Latin ones are read as those in a word that has Latin letters too
 The restored words are scored by a logistic regression over whole words and their
 beginnings: of those, the ones that the learning rows tie most to the label.
 
-The channel's costs are fixed; language model and classifier learn from at most
-``per_class`` toxic and twice as many other rows, whole texts, chosen by the hash of the
-key.  Equal texts teach once; rows with an unknown or contradictory label teach nothing.
+The channel's costs are fixed; language model and classifier learn from all labelled rows,
+whole texts.  Equal texts teach once; rows with an unknown or contradictory label teach
+nothing.
 Null and empty texts have no word and get the base score.  Every row is scored alone and
 whole; an empty table gives an empty result, and learning rows without both labels raise
 ValueError.
@@ -30,10 +30,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringcast.llm.tables import sample_per_class
+from ringcast.llm.tables import agreed_labels
 from ringcast.llm.texts import over_texts
 from ringcast.session import stage
 
@@ -48,7 +50,8 @@ LOOKALIKES = {
     "ј": "j", "к": "k", "м": "m", "т": "t", "ԁ": "d", "α": "a", "ο": "o", "ι": "i", "ν": "v",
 }
 SIGN_COST, DROP_COST, REPEAT_COST, SPACE_COST = 1.0, 4.0, 0.5, 1.0  # nats
-PER_CLASS, MAX_FEATURES, MIN_ROWS = 1500, 6000, 4
+MAX_FEATURES, MIN_ROWS, CANDIDATES = 6000, 4, 200_000
+RIDGE = 5e-5
 PREFIXES = (3, 4, 5, 6)
 MAX_TRIGRAMS, MAX_WORDS, MIN_TIMES = 100_000, 50_000, 3
 CACHED_WORDS, CACHED_CHARS = 400_000, 64
@@ -171,6 +174,9 @@ def _reading(core: str, model: CharacterModel) -> str:
 
 def restore(word: str, model: CharacterModel) -> str:
     """The plain reading of one word, in lower case, without signs at its edges."""
+    if word.isascii() and word.isalpha():
+        low = word.lower()
+        return _reading(low, model) if _doubled.search(low) else low
     low = _hidden.sub("", word).lower()
     if _foreign.search(low) and _latin.search(low):
         low = low.translate(_look)
@@ -208,8 +214,13 @@ class _Known(dict):
     def __init__(self, model: CharacterModel, number: dict[str, int] | None):
         super().__init__()
         self.model, self.number = model, number
+        # every feature begins like its word
+        self.heads = None if number is None else {f[:3] for f in number}
 
     def of(self, restored: str) -> tuple:
+        heads = self.heads
+        if heads is not None and not any(f"{w} "[:3] in heads for w in restored.split()):
+            return ()
         found = word_features(restored)
         if self.number is None:
             return tuple(found)
@@ -248,33 +259,15 @@ class ToxicityModel:
         return 1 / (1 + math.exp(-min(30.0, max(-30.0, margin))))
 
 
-def _logistic(
-    rows: list[list[int]], labels: np.ndarray, n: int, ridge=5e-5, steps=600, rate=0.05
-) -> tuple[np.ndarray, float]:
-    """Adam on the mean logistic loss of rows of present features."""
-    of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    index = np.array([f for r in rows for f in r], np.int64)
-    w = np.zeros(n + 1)
-    mean, spread = np.zeros(n + 1), np.zeros(n + 1)
-    for step in range(1, steps + 1):
-        margin = w[n] + np.bincount(of, w[index], len(rows))
-        wrong = (1 / (1 + np.exp(-margin)) - labels) / len(rows)
-        grad = np.bincount(index, wrong[of], n + 1) + ridge * w
-        grad[n] = wrong.sum()
-        mean += 0.1 * (grad - mean)
-        spread += 0.001 * (grad**2 - spread)
-        w -= rate * (mean / (1 - 0.9**step)) / (np.sqrt(spread / (1 - 0.999**step)) + 1e-9)
-    return w[:n], float(w[n])
-
-
 def _tallies(some: DataFrame, text: str, count) -> DataFrame:
-    """Sums by name of what ``count(text, label)`` gives for each row, pre-summed."""
+    """Sums by name of what ``count(texts)`` gives for the rows of each label, pre-summed."""
 
     def compute(part, _):
         sums: dict[str, list[int]] = {}
         texts, labels = part.column(text).to_pylist(), part.column("label").to_pylist()
-        for t, label in zip(texts, labels, strict=True):
-            for name, n in count(t or ""):
+        for label in (0, 1):
+            own = [t or "" for t, x in zip(texts, labels, strict=True) if x == label]
+            for name, n in count(own):
                 sums.setdefault(name, [0, 0])[label] += n
         # the first row carries the sums of all rows of the slice
         empty = [[] for _ in range(len(part) - 1)]
@@ -295,19 +288,38 @@ def _tallies(some: DataFrame, text: str, count) -> DataFrame:
     )
 
 
-def _trigrams(text: str):
+def _whole_words(texts: list[str]):
+    raw: Counter = Counter()
+    for t in texts:
+        raw.update(_words.findall(t))
     found: Counter = Counter()
-    for word in _words.findall(text):
+    for word, n in raw.items():
         word = word.lower().strip(_EDGES)
         if word.isalpha() and not _repeated.search(word):
-            padded = f"  {word} "
-            found.update(padded[i : i + 3] for i in range(len(padded) - 2))
+            found[word] += n
     return found.items()
 
 
-def _whole_words(text: str):
-    words = (word.lower().strip(_EDGES) for word in _words.findall(text))
-    return Counter(w for w in words if w.isalpha() and not _repeated.search(w)).items()
+def _character_model(some: DataFrame, text: str) -> CharacterModel:
+    """Trigrams and frequent words, from the numbers of times that each word is there."""
+    words = stage(
+        _tallies(some, text, _whole_words).select(
+            "name", (F.col("clean") + F.col("toxic")).alias("times")
+        ),
+        "toxicity-words",
+    )
+    padded = F.concat(F.lit("  "), "name", F.lit(" "))
+    grams = F.transform(
+        F.sequence(F.lit(1), F.char_length("name") + 1), lambda i: F.substring(padded, i, F.lit(3))
+    )
+    grams = words.select(F.explode(grams).alias("name"), "times")
+    most = grams.groupBy("name").agg(F.sum("times").alias("times"))
+    most = most.orderBy(F.desc("times"), "name").limit(MAX_TRIGRAMS).collect()
+    known = words.where(F.col("times") >= MIN_TIMES).orderBy(F.desc("times"), "name")
+    return CharacterModel(
+        {r.name: r.times for r in most},
+        words=frozenset(r.name for r in known.limit(MAX_WORDS).collect()),
+    )
 
 
 def fit_toxicity(
@@ -316,65 +328,87 @@ def fit_toxicity(
     label: str = "toxic",
     key: str = "doc_id",
     text: str = "text",
-    per_class: int = PER_CLASS,
+    candidates: int = CANDIDATES,
 ) -> ToxicityModel:
-    """Learns from ``labels`` (key and label) that have a row in ``docs``.
+    """Learns from all ``labels`` (key and label) that have a row in ``docs``.
 
-    The driver gets counts of letter trigrams, the most frequent words, the MAX_FEATURES features most tied to
-    the label, and which of them the learning rows hold.
+    The driver gets counts of letter trigrams, the most frequent words, the features looked
+    for in all rows, and a weight for each of the MAX_FEATURES most tied to the label.
+    Looked for are the ``candidates`` features that most toxic rows hold, and more if one
+    that was left out could be tied more than one that was taken.
     """
-    there = labels.join(docs.select(key).distinct(), key)
-    toxic = sample_per_class(there, key, label, per_class, [1])
-    clean = sample_per_class(there, key, label, 2 * per_class, [0])
-    chosen = F.broadcast(toxic.unionByName(clean))
+    chosen = agreed_labels(labels, key, label).where(F.col("label").isin(0, 1))
     some = docs.select(key, text).join(chosen, key)
     equal = some.groupBy(text).agg(
         F.min(key).alias(key), F.min("label").alias("label"), F.max("label").alias("_other")
     )
-    some = stage(equal.where("label = _other").drop("_other"), "toxicity-sample")
+    some = stage(equal.where("label = _other").drop("_other"), "toxicity-learning")
     sizes = {r.label: r["count"] for r in some.groupBy("label").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         raise ValueError("learning rows of both labels are needed")
 
-    grams = _tallies(some, text, _trigrams)
-    times = F.col("clean") + F.col("toxic")
-    most = grams.orderBy(times.desc(), "name").limit(MAX_TRIGRAMS)
-    words = _tallies(some, text, _whole_words).where(times >= MIN_TIMES)
-    words = words.orderBy(times.desc(), "name").limit(MAX_WORDS).collect()
-    characters = CharacterModel(
-        {r.name: r.clean + r.toxic for r in most.collect()},
-        words=frozenset(r.name for r in words),
-    )
-
+    characters = _character_model(some, text)
     shared = docs.sparkSession.sparkContext.broadcast(characters)
 
-    def present(t):
+    def present(texts):
         known = _Known(shared.value, None)
-        return [(f, 1) for f in known.in_text(t)]
+        found: Counter = Counter()
+        for t in texts:
+            found.update(known.in_text(t))
+        return found.items()
 
-    rate_1 = (F.col("toxic") + 0.5) / (sizes[1] + 1.0)
-    rate_0 = (F.col("clean") + 0.5) / (sizes[0] + 1.0)
-    tied = (
-        _tallies(some, text, present)
+    in_toxic = stage(
+        _tallies(some.where("label = 1"), text, present)
         .where(F.col("toxic") >= MIN_ROWS)
-        .where(rate_1 > 4 * rate_0)
-        .withColumn("gain", F.col("toxic") * F.log(rate_1 / rate_0))
-        .orderBy(F.desc("gain"), "name")
-        .limit(MAX_FEATURES)
+        .select("name", "toxic"),
+        "toxicity-names",
     )
-    names = [r.name for r in tied.collect()]
+
+    def gain(toxic, clean):
+        rate_1, rate_0 = (toxic + 0.5) / (sizes[1] + 1.0), (clean + 0.5) / (sizes[0] + 1.0)
+        return toxic * math.log(rate_1 / rate_0) if rate_1 > 4 * rate_0 else 0.0
+
+    while True:
+        looked = in_toxic.orderBy(F.desc("toxic"), "name").limit(candidates).collect()
+        rows = stage(_held(some, characters, [r.name for r in looked], key, text), "toxicity-rows")
+        clean = dict(
+            rows.where("label = 0").select(F.explode("features").alias("f"))
+            .groupBy("f").count().collect()
+        )
+        tied = [(gain(r.toxic, clean.get(i, 0)), r.name, i) for i, r in enumerate(looked)]
+        tied = sorted((x for x in tied if x[0] > 0), key=lambda x: (-x[0], x[1]))[:MAX_FEATURES]
+        if len(looked) < candidates:
+            break
+        if len(tied) == MAX_FEATURES and tied[-1][0] > gain(looked[-1].toxic, 0):
+            break
+        candidates *= 4
+
+    number = {name: i for i, (_, name, _) in enumerate(tied)}
+    if not tied:
+        share = sizes[1] / (sizes[0] + sizes[1])
+        return ToxicityModel(characters, number, np.zeros(0), math.log(share / (1 - share)))
+    vectors = CountVectorizerModel.from_vocabulary(
+        [str(i) for *_, i in tied], inputCol="names", outputCol="vector"
+    ).setBinary(True)
+    named = rows.select("label", F.col("features").cast("array<string>").alias("names"))
+    learned = LogisticRegression(
+        featuresCol="vector", labelCol="label", regParam=RIDGE, standardization=False
+    ).fit(vectors.transform(named).select("label", "vector"))
+    return ToxicityModel(characters, number, learned.coefficients.toArray(), learned.intercept)
+
+
+def _held(
+    some: DataFrame, characters: CharacterModel, names: list[str], key: str, text: str
+) -> DataFrame:
+    """Key, label and the numbers of the features that each learning row holds."""
     model = ToxicityModel(characters, {f: i for i, f in enumerate(names)}, np.zeros(0), 0.0)
-    shared_model = docs.sparkSession.sparkContext.broadcast(model)
+    shared = some.sparkSession.sparkContext.broadcast(model)
 
-    def held(part, _):
-        known = shared_model.value.scorer()
+    def compute(part, _):
+        known = _scorer(shared)
         return [[sorted(known.in_text(t or "")) for t in part.column(text).to_pylist()]]
 
-    rows = over_texts(some, [key, "label"], "features array<bigint>", held, text).collect()
-    rows.sort(key=lambda r: (r[key], r.features))
-    truth = np.array([r.label for r in rows], np.float64)
-    model.weights, model.bias = _logistic([r.features for r in rows], truth, len(names))
-    return model
+    return over_texts(some, [key, "label"], "features array<bigint>", compute, text)
 
 
 def score_toxicity(

@@ -248,3 +248,17 @@ def _toxic(labelled):
     if "toxic" not in _models:
         _models["toxic"] = fit_toxicity(*labelled)
     return _models["toxic"]
+
+
+def test_toxicity_learns_from_all_labelled_rows(spark):
+    """A word of the toxic rows whose keys have the highest hashes is learned too."""
+    ids = spark.range(2400).select(F.col("id").alias("doc_id"), F.xxhash64("id").alias("h"))
+    ids = ids.withColumn("toxic", (F.col("doc_id") < 1600).cast("int"))
+    last = sorted((r.h, r.doc_id) for r in ids.where("toxic = 1").collect())[-12:]
+    word = F.when(F.col("doc_id").isin([i for _, i in last]), "zibbert").when(F.col("toxic") == 1, "grum")
+    rows = ids.withColumn("text", F.concat_ws(" ", F.lit("plain words"), word, F.hex("doc_id"))).cache()
+    model = fit_toxicity(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"), candidates=2)
+    assert {"zibbert ", "grum "} <= set(model.number) and "plain " not in model.number
+    odd = spark.createDataFrame([(1, "a zibbert"), (2, "a word")], "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in score_toxicity(odd, model, ["doc_id"]).collect()}
+    assert scores[1] > 0.5 and scores[1] > scores[2]
