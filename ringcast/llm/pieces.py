@@ -30,7 +30,7 @@ from ringcast.llm.texts import over_texts
 
 SPACE = "▁"
 UNKNOWN_SURFACE = " ⁇ "
-CACHED_RUNS, CACHED_CHARS, CACHED_PAIRS = 400_000, 48, 400_000
+CACHED_RUNS, CACHED_CHARS, CACHED_PAIRS = 100_000, 48, 100_000
 # piece types of the public model format
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 

@@ -337,7 +337,9 @@ def fit_toxicity(
     Looked for are the ``candidates`` features that most toxic rows hold, and more if one
     that was left out could be tied more than one that was taken.
     """
-    chosen = agreed_labels(labels, key, label).where(F.col("label").isin(0, 1))
+    agreed = agreed_labels(labels, key, label).where(F.col("label").isin(0, 1))
+    # of known size, so that texts are not shuffled to meet few labels
+    chosen = stage(agreed, "toxicity-labels")
     some = docs.select(key, text).join(chosen, key)
     equal = some.groupBy(text).agg(
         F.min(key).alias(key), F.min("label").alias("label"), F.max("label").alias("_other")
