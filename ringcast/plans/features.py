@@ -145,14 +145,19 @@ def _panel_keys(feeds: Feeds, seen: DataFrame, start: Column, end: Column) -> Da
 
 
 def history_slice(
-    feeds: Feeds, start: str | dt.date, end: str | dt.date, rows: int = ROWS_BEFORE
+    feeds: Feeds,
+    start: str | dt.date,
+    end: str | dt.date,
+    rows: int = ROWS_BEFORE,
+    staged: bool = False,
 ) -> History:
     """Panel rows of [start, end], and each account's last ``rows`` rows before.
 
     That is all a row frame over these days can reach. Keys come first: only key columns
     of the whole history are read, for accounts seen on the days, and ranked. Metrics are
     then fetched for the keys that remain, from their dates on. Day counts need the keys
-    of the days they reach.
+    of the days they reach. Keys are staged, as they are read several times, and with ``staged``
+    the fetched rows.
     """
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
     day = F.col("event_date")
@@ -160,7 +165,7 @@ def history_slice(
         F.col("account_number").alias("_seen")
     ).distinct()
     beginning = F.lit("0001-01-01").cast("date")
-    keys = _panel_keys(feeds, seen, beginning, last)
+    keys = stage(_panel_keys(feeds, seen, beginning, last), "panel-keys")
     wanted = last_rows(keys.where(day < first), rows).unionByName(keys.where(day >= first))
     wanted = stage(wanted.distinct(), "history-keys")
 
@@ -170,19 +175,22 @@ def history_slice(
     chosen = wanted.select(*[F.col(k).alias(f"_{k}") for k in KEYS])
     same = [own[k].eqNullSafe(chosen[f"_{k}"]) for k in ("account_number",)]
     same += [own[k] == chosen[f"_{k}"] for k in ("event_date", "mac")]
-    fetched = replace(
+    chosen_feeds = replace(
         feeds,
         accessibility=own.join(chosen, same, "left_semi"),
         **{
             name: getattr(feeds, name).where(bounded)
             for name in ("service_quality", "attainability", "intermittency", "usage", "whix")
         },
-    ).panel()
+    )
+    fetched = chosen_feeds.panel()
+    if staged:
+        fetched = stage(fetched, "history-panel")
     reach = F.date_sub(first, max(HISTORY_DAYS))
     return History(
         inside=fetched.where(day >= first),
         before=last_rows(fetched.where(day < first), rows),
-        days=_panel_keys(feeds, seen, reach, last).select("account_number", "event_date"),
+        days=keys.where(day >= reach).select("account_number", "event_date"),
     )
 
 
@@ -213,7 +221,7 @@ def feature_frame(
         panel, cases = cut_ranges(feeds.panel()), feeds.cases
         days = panel.drop(RANGE)
     else:
-        history = history_slice(feeds, start, end, -agg_window)
+        history = history_slice(feeds, start, end, -agg_window, staged=True)
         panel = cut_ranges(history.inside.unionByName(history.before))
         days = history.days
         cases = _reached_cases(feeds, start, end)
@@ -231,7 +239,7 @@ def point_in_time(feeds: Feeds, when: str | dt.date) -> DataFrame:
     Equals the ``feature_frame`` row of the account's first modem on that day.
     """
     day = F.lit(when).cast("date")
-    history = history_slice(feeds, when, when)
+    history = history_slice(feeds, when, when, staged=True)
     today = one_per_account(history.inside, order=["mac"])
     present = history.days.groupBy("account_number", "event_date").agg(
         F.count(F.lit(1)).alias("_rows")

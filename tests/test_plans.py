@@ -65,6 +65,15 @@ def test_history_reads_metrics_by_date_only(feeds):
             assert "GreaterThanOrEqual(event_date" in scan
 
 
+def test_sources_are_joined_once_for_a_slice(feeds):
+    """Each further read of the slice is of a staged table, not of the joined sources."""
+    history = history_slice(feeds, DAY, DAY, staged=True)
+    frames = {"history-panel": history.inside.unionByName(history.before), "panel-keys": history.days}
+    for name, df in frames.items():
+        files = df.inputFiles()
+        assert files and all(f"/{name}-" in f for f in files)
+
+
 def test_reversed_split_has_targets(feeds):
     def positives(train, test):
         frame = labelled_frame(feeds, train, test, window=3)
