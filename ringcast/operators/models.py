@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from multiprocessing.pool import ThreadPool
@@ -36,6 +37,7 @@ NOT_FEATURES = (
     "gw_mac",
 )
 FOLDS = 5
+TASK_ROWS = 50_000  # of a stack's vectors, for one task of a fit
 
 
 def _estimator(kind: str, label: str, seed: int, **params):
@@ -125,15 +127,17 @@ def fit_stack(
     folds: int = FOLDS,
     seed: int = 42,
     params: dict[str, dict] | None = None,
-    together: int = 8,
+    together: int = 12,
 ) -> StackedModel:
     """Logistic regression over out-of-fold scores of a forest and boosted trees.
 
     A row's fold comes from its key's hash, so it is the same on every pass.  Features are
     assembled once, into one staged table of vectors; the fits of all folds and of the
-    whole read it side by side, ``together`` at a time.  Folds that have no rows, or hold
-    all of them, are left out; without any other the stack cannot be fitted.  Forests draw
-    rows by where they lie, so those of two runs over one table may differ.
+    whole read it side by side, ``together`` at a time, each in as few tasks as TASK_ROWS
+    allows: every task sends statistics of all nodes, and the fits share the cores.  Folds
+    that have no rows, or hold all of them, are left out; without any other the stack cannot
+    be fitted.  Forests draw rows by where they lie, so those of two runs over one table may
+    differ.
     """
     params = params or {}
     assembler = VectorAssembler(
@@ -149,9 +153,11 @@ def fit_stack(
     if not used:
         raise ValueError("a stack needs rows in two folds at least")
 
+    few = vectors.coalesce(math.ceil(sum(sizes.values()) / TASK_ROWS))
+
     def fitted(job):
         kind, left_out = job
-        rows = vectors if left_out is None else vectors.where(F.col("_fold") != left_out)
+        rows = few if left_out is None else few.where(F.col("_fold") != left_out)
         return _estimator(kind, label, seed, **params.get(kind, {})).fit(rows)
 
     # boosted trees take longest, so they begin first

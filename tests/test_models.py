@@ -55,6 +55,23 @@ def test_boosted_trees_of_a_stack_do_not_depend_on_what_runs_beside_them(data):
     assert one == pytest.approx(more, abs=1e-9)
 
 
+def test_fits_of_a_stack_take_no_more_tasks_than_their_rows_need(data, monkeypatch):
+    seen, made = [], models._estimator
+
+    class Watched:
+        def __init__(self, *args, **params):
+            self.inner = made(*args, **params)
+
+        def fit(self, rows):
+            seen.append(rows.rdd.getNumPartitions())
+            return self.inner.fit(rows)
+
+    monkeypatch.setattr(models, "_estimator", Watched)
+    monkeypatch.setattr(models, "TASK_ROWS", 300)
+    models.fit_stack(data.repartition(8), folds=2, params=SMALL)
+    assert len(seen) == 6 and set(seen) == {2}  # 600 rows
+
+
 def test_stack_needs_two_folds(data):
     with pytest.raises(ValueError, match="two folds"):
         models.fit_stack(data, folds=1, params=SMALL)
