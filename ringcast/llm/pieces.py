@@ -20,7 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import ahocorasick
 from pyspark.sql import DataFrame
@@ -30,7 +30,7 @@ from ringcast.llm.texts import over_texts
 
 SPACE = "▁"
 UNKNOWN_SURFACE = " ⁇ "
-CACHED_RUNS, CACHED_CHARS, CACHED_PAIRS = 100_000, 48, 100_000
+CACHED_RUNS, CACHED_CHARS, CACHED_PAIRS = 200_000, 48, 200_000
 # piece types of the public model format
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 
@@ -93,6 +93,7 @@ class PieceModel:
         self.rank = [rank[s] for s in scores]
         self._split()
         self.sizes = [len(p) for p in self.pieces]
+        self.plain = frozenset(self.ids.values())
         self.alphabet = frozenset(p for p in self.ids if len(p) == 1)
         known = "".join(map(re.escape, sorted(self.alphabet)))
         self.find_known = re.compile(f"[{known}]+|[^{known}]").findall
@@ -211,8 +212,10 @@ class PieceModel:
     def encode(self, text: str) -> list[int]:
         return [i for run in self.runs(text) for i in self.encode_run(run)]
 
-    def surface(self, ids: Iterable[int]) -> str:
+    def surface(self, ids: list[int]) -> str:
         """Text of ids with white space still escaped."""
+        if self.plain.issuperset(ids):
+            return "".join([self.pieces[i] for i in ids])
         out: list[str] = []
         raw = bytearray()
         for i in ids:
@@ -238,35 +241,53 @@ class PieceModel:
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of ids, and the hashes of the ids and of what they decode to."""
-        found = [self._runs[r] for r in self.runs(text)]
-        ids = ",".join([f[1] for f in found])
-        decoded = "".join([f[2] for f in found])
-        if found and self.dummy_prefix:
-            decoded = decoded[1:]
+        runs, known = self.runs(text), self._runs
+        if len(known.odd) >= CACHED_RUNS:
+            known.forget()
+        ids = ",".join(map(known.__getitem__, runs))
+        if known.odd.keys().isdisjoint(runs):
+            decoded = text  # every run decodes to itself
+        else:
+            decoded = "".join([known.odd.get(r, r) for r in runs])
+            if self.dummy_prefix:
+                decoded = decoded[1:]
         decoded = decoded.replace(SPACE, " ")
         return (
-            sum([f[0] for f in found]),
+            ids.count(",") + 1 if ids else 0,
             hashlib.sha256(ids.encode()).hexdigest(),
             hashlib.sha256(decoded.encode()).hexdigest(),
         )
 
 
 class _Runs(dict):
-    """Short runs to their number of ids, the ids joined by commas, and their surface.
+    """Short runs to their ids, joined by commas; runs that decode to other text in ``odd``.
 
-    A run holds whole characters, so bytes of a character never lie in two runs.
+    A run holds whole characters, so bytes of a character never lie in two runs.  When half
+    of the bounded size is full, its runs become the older half and the former older half is
+    forgotten; a run met again moves back, so frequent runs stay.
     """
 
     def __init__(self, model: PieceModel):
         super().__init__()
         self.model = model
-
-    def __missing__(self, run: str) -> tuple[int, str, str]:
-        ids = self.model.encode_run(run)
-        surface = self.model.surface(ids)
-        made = len(ids), ",".join(map(str, ids)), run if surface == run else surface
+        self.older: dict[str, str] = {}
+        self.odd: dict[str, str] = {}
+
+    def forget(self) -> None:
+        for runs in (self, self.older, self.odd):
+            runs.clear()
+
+    def __missing__(self, run: str) -> str:
+        made = self.older.get(run)
+        if made is None:
+            ids = self.model.encode_run(run)
+            made = ",".join(map(str, ids))
+            surface = self.model.surface(ids)
+            if surface != run:
+                self.odd[run] = surface
         if len(run) <= CACHED_CHARS:
-            if len(self) >= CACHED_RUNS:
+            if len(self) >= CACHED_RUNS // 2:
+                self.older = dict(self)
                 self.clear()
             self[run] = made
         return made

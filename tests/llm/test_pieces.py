@@ -6,6 +6,7 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from ringcast.llm import pieces
 from ringcast.llm.pieces import decode_ids, encode_texts, model_of, token_digests
 
 FILE = public_tokenizers.path("piece_bpe_32k.model")
@@ -33,6 +34,18 @@ def test_ids_equal_the_library(text):
     )
 
 
+def test_frequent_runs_stay_in_a_full_cache(monkeypatch):
+    monkeypatch.setattr(pieces, "CACHED_RUNS", 8)
+    with open(FILE, "rb") as f:
+        model = pieces.PieceModel(f.read())
+    asked, encode_run = [], model.encode_run
+    monkeypatch.setattr(model, "encode_run", lambda run: asked.append(run) or encode_run(run))
+    text = " ".join(f"often w{i}" for i in range(40))
+    assert model.digest(text)[0] == len(LIBRARY.encode(text))
+    assert asked.count("▁often") == 1 and len(asked) == 41
+    assert len(model._runs) + len(model._runs.older) <= 8
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 400), st.integers(0, 31999)), max_size=12))
 def test_any_ids_decode_as_the_library(ids):
