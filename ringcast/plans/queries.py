@@ -353,12 +353,13 @@ def trailing_kept(spark, sf):
         on = rows.where(F.col("event_date") == day)
         if day == days[0]:
             state.begin_counts(rows, cases, day - dt.timedelta(1))
-        seen = on.select("account_number").distinct()
-        found.append(
-            seen.join(state.trailing(day), "account_number", "left").withColumn("event_date", F.lit(day))
-        )
+        found.append(state.trailing(day).withColumn("event_date", F.lit(day)))
         state.advance_counts(on, cases.where(F.col("creation_time") == day), day)
-    return reduce(DataFrame.unionByName, found)
+    # one join for all days: a join for each would leave all of them to the tasks of one union
+    seen = rows.where(F.col("event_date").isNotNull()).select("account_number", "event_date").distinct()
+    trailing = reduce(DataFrame.unionByName, found)
+    joined = seen.join(trailing, ["account_number", "event_date"], "left")
+    return joined.select("account_number", *trailing.columns[1:-1], "event_date")
 
 
 @query

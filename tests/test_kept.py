@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ringcast.operators.counts import HISTORY_DAYS, add_contact_history
+from ringcast.plans import queries
 from ringcast.plans.features import point_in_time
 from ringcast.plans.kept import KeptState, on_one_day
 
@@ -77,3 +78,8 @@ def test_sources_are_read_for_one_day(feeds):
     plan = on_one_day(feeds, "2024-01-12").panel()._jdf.queryExecution().executedPlan().toString()
     pushed = [line for line in plan.splitlines() if "PushedFilters" in line]
     assert pushed and all("EqualTo(event_date,2024-01-12)" in line for line in pushed)
+
+
+def test_trailing_counts_of_all_days_meet_their_rows_in_one_join(spark, sf):
+    plan = queries.trailing_kept(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
