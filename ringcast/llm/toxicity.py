@@ -26,7 +26,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ringcast.llm.near_dedup import row_filter, with_maybe
 from ringcast.llm.tables import agreed_labels
 from ringcast.llm.texts import over_texts
 from ringcast.session import stage
@@ -66,6 +69,10 @@ _open, _close = r"(?<![^\s\"'()\[{<«„“‘¿¡])", r"(?![^\s\"')\]}>»“”
 _gap = r"(?:\s+(?:[.\-_*]\s*)?|[.\-_*](?:[.\-_*]|\s+)?)"
 _apart = re.compile(_open + r"[^\W_](?:" + _gap + r"[^\W_@$!|]){2,}" + _close + "|" +
                     _open + r"[\w@$!|](?:\s+[\w@$!|]){2,}" + _close)
+# the end of any match of ``_apart``, which takes a fifth of its time to look for
+_maybe_apart = re.compile(
+    r"[\s.\-_*](?:[^\W_][\s.\-_*]++[^\W_]|[\w@$!|]\s++[\w@$!|])" + _close
+)
 _joined = re.compile(r"[\w@$!|](?:[.\-_*/]{1,3}[\w@$!|]){2,}")
 _hidden = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
 _foreign = re.compile("[" + "".join(LOOKALIKES) + "]")
@@ -107,6 +114,7 @@ class CharacterModel:
 
     def likeliest(self, lattice: list[list[tuple[str, float]]]) -> str:
         """The cheapest reading: one option of each step, and the end of a word."""
+        known_cost = self.costs.get
         paths: dict[str, tuple[float, tuple | None]] = {"  ": (0.0, None)}
         for options in [*lattice, [(" ", 0.0)]]:
             after: dict[str, tuple[float, tuple | None]] = {}
@@ -114,8 +122,10 @@ class CharacterModel:
                 for text, extra in options:
                     end, total = state, cost + extra
                     for c in text:
-                        total += self.cost(end, c)
-                        end = end[1] + c
+                        gram = end + c
+                        more = known_cost(gram)
+                        total += self.cost(end, c) if more is None else more
+                        end = gram[1:]
                     known = after.get(end)
                     if known is None or total < known[0]:
                         after[end] = total, (path, text)
@@ -131,7 +141,10 @@ class CharacterModel:
 def lattice_of(word: str, gaps: bool, drop: bool = True) -> list[list[tuple[str, float]]]:
     """Readings of each run of one character; ``gaps``: signs between letters set apart;
     ``drop``: signs at the edges may be no letters."""
-    out = []
+    return list(_runs(word, gaps, drop))
+
+
+def _runs(word: str, gaps: bool, drop: bool = True) -> Iterator[list[tuple[str, float]]]:
     at = 0
     while at < len(word):
         c = word[at]
@@ -140,21 +153,20 @@ def lattice_of(word: str, gaps: bool, drop: bool = True) -> list[list[tuple[str,
             end += 1
         n, at = end - at, end
         if gaps and (c.isspace() or c in ".-_*/"):
-            out.append([("", 0.0), (" ", SPACE_COST)])
+            yield [("", 0.0), (" ", SPACE_COST)]
         elif c in LEET:
             options = [(x, SIGN_COST) for x in LEET[c]]
             if drop and (end == len(word) or end == n):  # at the edge it may be no letter at all
                 options.append(("", DROP_COST))
             if n > 1:
                 options += [(x + x, SIGN_COST) for x in LEET[c]]
-            out.append(options)
+            yield options
         elif n >= 3:
-            out.append([(c, REPEAT_COST), (c + c, REPEAT_COST)])
+            yield [(c, REPEAT_COST), (c + c, REPEAT_COST)]
         elif n == 2 and c.isalpha():
-            out.append([(c + c, 0.0), (c, REPEAT_COST)])
+            yield [(c + c, 0.0), (c, REPEAT_COST)]
         else:
-            out.append([(c * n, 0.0)])
-    return out
+            yield [(c * n, 0.0)]
 
 
 def _reading(core: str, model: CharacterModel) -> str:
@@ -172,26 +184,67 @@ def _reading(core: str, model: CharacterModel) -> str:
     return letters
 
 
-def restore(word: str, model: CharacterModel) -> str:
-    """The plain reading of one word, in lower case, without signs at its edges."""
-    if word.isascii() and word.isalpha():
+PLAIN, SIGNS, APART = range(3)
+
+
+def _core(word: str) -> tuple[str, int]:
+    """What of a word is read, in lower case, and how: as it is, for the signs and repeated
+    letters in it, or as letters set apart."""
+    if word.isascii():
         low = word.lower()
-        return _reading(low, model) if _doubled.search(low) else low
-    low = _hidden.sub("", word).lower()
-    if _foreign.search(low) and _latin.search(low):
-        low = low.translate(_look)
+    else:
+        low = _hidden.sub("", word).lower()
+        if _foreign.search(low) and _latin.search(low):
+            low = low.translate(_look)
     core = low.strip(_EDGES)
-    if _joined.fullmatch(core):
-        return model.likeliest(lattice_of(core, True))
-    if not _letter.search(core):
-        return core
-    # a sign before the word may be its first letter
-    lead = low[: low.find(core)]
-    if lead and lead[-1] in "!|(":
-        core = lead[-1] + core
+    if not core.isalpha():
+        if _joined.fullmatch(core):
+            return core, APART
+        if not _letter.search(core):
+            return core, PLAIN
+    if core[0] != low[0]:
+        # a sign before the word may be its first letter
+        lead = low[: low.find(core)]
+        if lead[-1] in "!|(":
+            core = lead[-1] + core
+    if core.isalpha():
+        return core, SIGNS if _doubled.search(core) else PLAIN
     if _sign.search(core) or _repeated.search(core) or _doubled.search(core):
-        return _reading(core, model)
-    return core
+        return core, SIGNS
+    return core, PLAIN
+
+
+def _read(core: str, how: int, model: CharacterModel) -> str:
+    if how == PLAIN:
+        return core
+    return _reading(core, model) if how == SIGNS else model.likeliest(lattice_of(core, True))
+
+
+def restore(word: str, model: CharacterModel) -> str:
+    """The plain reading of one word, in lower case, without signs at its edges."""
+    return _read(*_core(word), model)
+
+
+def _may_begin(core: str, number: dict[str, int], stems: set[str]) -> bool:
+    """Whether a reading of a word may have a feature: these all begin the word and a space."""
+    live = {""}
+    for options in chain(_runs(core, False), [[(" ", 0.0)]]):
+        longer = set()
+        for x in live:
+            for text, _ in options:
+                end = x
+                for c in text:
+                    end += c
+                    if end in number:
+                        return True
+                    if end not in stems:
+                        break
+                else:
+                    longer.add(end)
+        if not longer:
+            return False
+        live = longer
+    return False
 
 
 def restored_text(text: str, model: CharacterModel) -> str:
@@ -209,38 +262,68 @@ def word_features(restored: str) -> set[str]:
 
 
 class _Known(dict):
-    """Words to the numbers of their features, none for most; of bounded size."""
+    """Words, in UTF-8, to the numbers of their features; of bounded size.
+
+    Words without a feature, most of all, are in the set ``nothing``.  When half of the
+    bounded size is full, it becomes the older half and the former older half is forgotten;
+    a word met again moves back, so frequent words stay.
+    """
 
     def __init__(self, model: CharacterModel, number: dict[str, int] | None):
         super().__init__()
         self.model, self.number = model, number
+        self.nothing: set[bytes] = set()
+        self.older: set[bytes] = set()
         # every feature begins like its word
         self.heads = None if number is None else {f[:3] for f in number}
+        self.stems = {f[:n] for f in number or () for n in range(1, len(f) + 1)}
 
     def of(self, restored: str) -> tuple:
-        heads = self.heads
-        if heads is not None and not any(f"{w} "[:3] in heads for w in restored.split()):
-            return ()
-        found = word_features(restored)
-        if self.number is None:
-            return tuple(found)
-        return tuple(self.number[f] for f in found if f in self.number)
-
-    def __missing__(self, word: str) -> tuple:
-        made = self.of(restore(word, self.model))
-        if len(word) <= CACHED_CHARS:
+        number, heads = self.number, self.heads
+        if number is None:
+            return tuple(word_features(restored))
+        out = []
+        for word in restored.split():
+            whole = f"{word} "
+            if whole[:3] in heads:
+                begins = [word[:n] for n in PREFIXES if len(word) >= n]
+                out += [number[f] for f in (whole, *begins) if f in number]
+        return tuple(out)
+
+    def of_word(self, word: str) -> tuple:
+        core, how = _core(word)
+        if how == SIGNS and self.heads is not None and core.split() == [core]:
+            # no reading has to be found if none has a feature
+            bare = core.strip("!|(")
+            if not _may_begin(core, self.number, self.stems) and (
+                bare == core or not _may_begin(bare, self.number, self.stems)
+            ):
+                return ()
+        return self.of(_read(core, how, self.model))
+
+    def __missing__(self, word: bytes) -> tuple:
+        made = () if word in self.older else self.of_word(word.decode())
+        if len(word) > CACHED_CHARS:
+            return made
+        if made:
             if len(self) >= CACHED_WORDS:
                 self.clear()
             self[word] = made
+        else:
+            if len(self.nothing) >= CACHED_WORDS // 2:
+                self.older, self.nothing = self.nothing, set()
+            self.nothing.add(word)
         return made
 
     def in_text(self, text: str) -> set:
         """Features of a whole text, each once."""
         out = set()
-        for found in set(map(self.__getitem__, _words.findall(text))):
-            out.update(found)
-        for m in _apart.finditer(text):
-            out.update(self.of(self.model.likeliest(lattice_of(m[0].lower(), True))))
+        # bytes are split at ASCII white space only
+        for word in set(text.encode().split()).difference(self.nothing):
+            out.update(self[word])
+        if _maybe_apart.search(text):
+            for m in _apart.finditer(text):
+                out.update(self.of(self.model.likeliest(lattice_of(m[0].lower(), True))))
         return out
 
 
@@ -255,7 +338,7 @@ class ToxicityModel:
         return _Known(self.characters, self.number)
 
     def score(self, features: set) -> float:
-        margin = self.bias + float(self.weights[list(features)].sum())
+        margin = self.bias + float(self.weights[sorted(features)].sum())
         return 1 / (1 + math.exp(-min(30.0, max(-30.0, margin))))
 
 
@@ -291,10 +374,10 @@ def _tallies(some: DataFrame, text: str, count) -> DataFrame:
 def _whole_words(texts: list[str]):
     raw: Counter = Counter()
     for t in texts:
-        raw.update(_words.findall(t))
+        raw.update(t.encode().split())
     found: Counter = Counter()
     for word, n in raw.items():
-        word = word.lower().strip(_EDGES)
+        word = word.decode().lower().strip(_EDGES)
         if word.isalpha() and not _repeated.search(word):
             found[word] += n
     return found.items()
@@ -338,13 +421,19 @@ def fit_toxicity(
     that was left out could be tied more than one that was taken.
     """
     agreed = agreed_labels(labels, key, label).where(F.col("label").isin(0, 1))
-    # of known size, so that texts are not shuffled to meet few labels
-    chosen = stage(agreed, "toxicity-labels")
-    some = docs.select(key, text).join(chosen, key)
-    equal = some.groupBy(text).agg(
+    # labels meet digests; texts are shuffled only of rows that teach, and once
+    digest = F.coalesce(F.unhex(F.sha2(F.col(text), 256)), F.unhex(F.lit("")))
+    read = docs.select(key, text)
+    equal = read.select(key, digest.alias("_digest")).join(agreed, key)
+    equal = equal.groupBy("_digest").agg(
         F.min(key).alias(key), F.min("label").alias("label"), F.max("label").alias("_other")
     )
-    some = stage(equal.where("label = _other").drop("_other"), "toxicity-learning")
+    chosen = stage(equal.where("label = _other").drop("_other"), "toxicity-chosen")
+    maybe = with_maybe(read, row_filter(chosen, key), key).where("_maybe").drop("_maybe")
+    some = maybe.withColumn("_digest", digest).join(chosen.hint("merge"), [key, "_digest"])
+    # rows alike in key and text are one
+    some = some.dropDuplicates([key, "_digest"]).drop("_digest")
+    some = stage(some, "toxicity-learning")
     sizes = {r.label: r["count"] for r in some.groupBy("label").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         raise ValueError("learning rows of both labels are needed")

@@ -262,3 +262,70 @@ def test_toxicity_learns_from_all_labelled_rows(spark):
     odd = spark.createDataFrame([(1, "a zibbert"), (2, "a word")], "doc_id long, text string")
     scores = {r.doc_id: r.score for r in score_toxicity(odd, model, ["doc_id"]).collect()}
     assert scores[1] > 0.5 and scores[1] > scores[2]
+
+
+def _noted(monkeypatch):
+    """Plans of the frames that toxicity stages, by name."""
+    from ringcast.llm import toxicity
+
+    plans, real = {}, toxicity.stage
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return real(df, name)
+
+    monkeypatch.setattr(toxicity, "stage", noted)
+    return plans
+
+
+def test_texts_of_other_rows_are_not_shuffled(spark, monkeypatch):
+    """Texts that teach nothing are ruled out by a filter before the join."""
+    plans = _noted(monkeypatch)
+    ids = spark.range(200).withColumn("toxic", (F.col("id") % 2).cast("int"))
+    ids = ids.withColumn("text", F.concat(F.lit("word "), F.when(F.col("toxic") == 1, "grum"))).limit(199)
+    some = ids.select(F.col("id").alias("doc_id"), "text")
+    fit_toxicity(some, ids.where("id < 40").select(F.col("id").alias("doc_id"), "toxic"))
+    below = plans["toxicity-learning"].split("Join Inner")[1]
+    assert "bit_get" in below and "text" in below
+
+
+def test_learning_rows_are_distinct_texts_of_one_label(spark, monkeypatch):
+    """Null and empty texts are two; rows alike in key and text are one."""
+    from ringcast.llm import toxicity
+
+    rows = [(1, "a"), (1, "a"), (2, "a"), (1, "b"), (3, "c"), (4, "c"), (5, None), (6, ""), (7, "d"), (None, "e")]
+    labels = [(1, 1), (2, 1), (3, 0), (4, 1), (5, 0), (6, 1), (7, 0), (7, 1), (None, 1)]
+    seen, real = {}, toxicity.stage
+
+    def noted(df, name):
+        seen[name] = staged = real(df, name)
+        return staged
+
+    monkeypatch.setattr(toxicity, "stage", noted)
+    fit_toxicity(spark.createDataFrame(rows, "doc_id long, text string"),
+                 spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = [(r.doc_id, r.text, r.label) for r in seen["toxicity-learning"].collect()]
+    assert sorted(got, key=str) == [(1, "a", 1), (1, "b", 1), (5, None, 0), (6, "", 1)]
+
+
+def test_features_are_those_of_restored_words(monkeypatch):
+    """Whatever is skipped or kept; no reading is looked for if none can have a feature."""
+    from ringcast.llm import toxicity
+    from ringcast.llm.toxicity import _apart, _Known, _maybe_apart, _words, word_features
+
+    grams = [f"  {w} "[i : i + 3] for w in ("idiot", "trash", "off", "ball") for i in range(len(w) + 1)]
+    model = CharacterModel(dict.fromkeys(grams, 5), words=frozenset({"idiot", "trash", "off"}))
+    number = {f: i for i, f in enumerate(["idi", "idiot ", "tra", "off ", "of ", "ball", "l "])}
+    pick = np.random.default_rng(3)
+    signs = list("idotrashfbl10!@|+$.-_* \n\xa0\x1c​іé'(\",")
+    texts = ["".join(pick.choice(signs, n)) for n in pick.integers(0, 40, 3000)]
+    texts += ["1diot", "i d i o t", "iddiot!", "off", "!(off", "_" * 5000, " " * 5000]
+    known = _Known(model, number)
+    for text in texts:
+        whole = [restore(w, model) for w in _words.findall(text)]
+        whole += [model.likeliest(lattice_of(m[0].lower(), True)) for m in _apart.finditer(text)]
+        wanted = {number[f] for w in whole for f in word_features(w) if f in number}
+        assert known.in_text(text) == wanted
+        assert _maybe_apart.search(text) or not _apart.search(text)
+    monkeypatch.setattr(toxicity, "_reading", None)
+    assert _Known(model, number).in_text("zoo b00k sell!") == set()
