@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ringcast.llm.texts import Texts, importable, mix, over_texts, slices
+from ringcast.llm.texts import Shelf, Texts, end_of_task, importable, mix, over_texts, slices
 from ringcast.session import stage
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -51,7 +51,7 @@ ROWS_EACH = 100_000  # rows of a partition of links and labels
 FILTER_WORDS = 1 << 18  # of 64 bits each, in a filter of rows
 SEED = 20240101
 
-_chances: list[tuple[np.ndarray, ...]] = []
+_chances = Shelf()
 
 
 def _cell(hashes: np.ndarray) -> np.ndarray:
@@ -60,14 +60,16 @@ def _cell(hashes: np.ndarray) -> np.ndarray:
 
 def chances() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """r, 1 / r, ln c and beta for each row and sample; a process makes them once."""
-    if not _chances:
+
+    def make():
         random = np.random.default_rng(SEED)
         shape = (CHANCES, BANDS * ROWS)
         r = random.gamma(2.0, 1.0, shape).astype(np.float32)
         c = np.log(random.gamma(2.0, 1.0, shape)).astype(np.float32)
         beta = random.random(shape, dtype=np.float32)
-        _chances.append((r, (1 / r).astype(np.float32), c, beta))
-    return _chances[0]
+        return r, (1 / r).astype(np.float32), c, beta
+
+    return _chances.get("chances", make)
 
 
 def weighted_sets(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -100,6 +102,7 @@ def sketch(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
             ],
             ["cell", "n"],
         )
+        end_of_task()
 
     found = (
         docs.select(text).mapInArrow(run, "cell bigint, n bigint").groupBy("cell")
@@ -240,6 +243,7 @@ def _compared(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
                 [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())],
                 ["a", "b", "linked"],
             )
+        end_of_task()
 
     return joined.mapInArrow(run, schema)
 

@@ -26,7 +26,7 @@ import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringcast.llm.texts import over_texts
+from ringcast.llm.texts import Shelf, over_texts
 
 SPACE = "▁"
 UNKNOWN_SURFACE = " ⁇ "
@@ -310,16 +310,12 @@ def _from_bytes(raw: bytes) -> str:
     return "".join(out)
 
 
-_models: dict[bytes, PieceModel] = {}
+_model = Shelf()
 
 
 def model_of(raw: bytes) -> PieceModel:
     """The model of a file's content; a worker process builds it once."""
-    name = hashlib.sha256(raw).digest()
-    if name not in _models:
-        _models.clear()
-        _models[name] = PieceModel(raw)
-    return _models[name]
+    return _model.get(hashlib.sha256(raw).digest(), lambda: PieceModel(raw))
 
 
 def _shared(docs: DataFrame, model_file: str):

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from ringcast.llm.near_dedup import row_filter, with_maybe
 from ringcast.llm.tables import agreed_labels
-from ringcast.llm.texts import over_texts
+from ringcast.llm.texts import Shelf, over_texts
 from ringcast.session import stage
 
 #: Letters that a digit or sign may stand for.
@@ -58,6 +58,7 @@ RIDGE = 5e-5
 PREFIXES = (3, 4, 5, 6)
 MAX_TRIGRAMS, MAX_WORDS, MIN_TIMES = 100_000, 50_000, 3
 CACHED_WORDS, CACHED_CHARS = 400_000, 64
+TALLIED_BYTES = 2_000_000  # of text whose words are summed before they are shuffled
 
 _EDGES = " \t\n\r\x0b\x0c.,;:?!\"'()[]{}<>#*%&=~^`/\\|-_«»„“”¿¡…"
 _sign = re.compile("[" + re.escape("".join(LEET)) + "]")
@@ -327,7 +328,7 @@ class _Known(dict):
         return out
 
 
-@dataclass
+@dataclass(eq=False)
 class ToxicityModel:
     characters: CharacterModel
     number: dict[str, int]
@@ -364,7 +365,7 @@ def _tallies(some: DataFrame, text: str, count) -> DataFrame:
     new = "names array<string>, clean array<bigint>, toxic array<bigint>"
     zipped = F.explode(F.arrays_zip("names", "clean", "toxic")).alias("x")
     return (
-        over_texts(some, ["label"], new, compute, text)
+        over_texts(some, ["label"], new, compute, text, TALLIED_BYTES)
         .select(zipped)
         .groupBy(F.col("x.names").alias("name"))
         .agg(F.sum("x.clean").alias("clean"), F.sum("x.toxic").alias("toxic"))
@@ -533,12 +534,10 @@ def restore_texts(
     return over_texts(docs, keep, "restored string", compute, text)
 
 
-_scorers: list[tuple[ToxicityModel, _Known]] = []
+_known = Shelf()
 
 
 def _scorer(shared) -> _Known:
     """One cache of words per broadcast model and worker process."""
     model = shared.value
-    if not _scorers or _scorers[0][0] is not model:
-        _scorers[:] = [(model, model.scorer())]
-    return _scorers[0][1]
+    return _known.get(model, model.scorer)

@@ -128,3 +128,18 @@ def test_rejects_texts_that_lose_much():
     bad = " | ".join(f"menu{i}" for i in range(40))
     kept = judge(of([plain, plain + "\n" + bad, plain + "\nHome | Menu", None, ""]))[-1]
     assert kept.tolist() == [True, False, True, False, False]
+
+
+def test_a_worker_puts_away_what_a_task_does_not_use():
+    from ringcast.llm.texts import Shelf, end_of_task
+
+    made = []
+    one, other = Shelf(), Shelf()
+    for _ in range(2):  # two tasks that use it
+        assert one.get("a", lambda: made.append(1) or [1]) == [1]
+        end_of_task()
+    assert made == [1] and one.value == [1]
+    assert other.get("b", lambda: [2]) == [2]
+    end_of_task()
+    assert one.value is None and other.value == [2]
+    assert other.get("c", lambda: [3]) == [3]
