@@ -158,6 +158,7 @@ def test_boosted_trees_of_a_table_are_explained(spark, data):
     frame = data.select("id", "target", *[vector_to_array("features")[i].alias(f"x{i}") for i in range(4)])
     frame = frame.withColumnsRenamed({"id": "account_number"})
     stack = models.fit_stack(frame, keys=["account_number"], folds=2, params={"rf": {"numTrees": 3}, "gbt": {"maxIter": 4}})
+    assert all(isinstance(m.stages[-1], forests.TreesModel) for m in stack.bases.values())
     model = stack.bases["gbt"]
     table, base = tree_contributions(frame, model, ["account_number"])
     sums = {r.account_number: base + sum(r[f"x{i}"] for i in range(4)) for r in table.collect()}
